@@ -5,7 +5,9 @@ Each view is one SQL text used for both engines; only type names and literals di
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import re
+
+from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
@@ -92,7 +94,7 @@ FROM orders
 """
 
 EXTRACTION = """
-SELECT o_orderkey AS row_id, 'sp' AS column, 1 AS seq,
+SELECT o_orderkey AS row_id, 'sp' AS field, 1 AS seq,
   CASE WHEN o_orderkey % 9 = 0 THEN NULL WHEN o_orderkey % 29 = 0 AND o_orderkey % 2 = 0 THEN '0'
        WHEN o_orderkey % 7 = 0 THEN '0.50' ELSE concat(' ', CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING), '0') END AS html_value,
   '//span[@class="price"]' AS current_xpath,
@@ -161,11 +163,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def view(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """A view text over the tables of a folder, without registering anything in the session."""
-    used = {t: table(spark, sf_dir, t) for t in TABLES if f" {t}" in sql}
-    for t in used:
-        sql = sql.replace(f"FROM {t}", f"FROM {{{t}}}").replace(f"JOIN {t}", f"JOIN {{{t}}}")
+    sql = sql.replace("{", "{{").replace("}", "}}")  # the SQL formatter reads braces
+    used = {}
+    for t in TABLES:
+        for word in ("FROM", "JOIN"):
+            if re.search(rf"{word} {t}\b", sql):
+                used[t] = table(spark, sf_dir, t)
+                sql = re.sub(rf"{word} {t}\b", f"{word} {{{t}}}", sql)
     return spark.sql(sql, **used)
 
 
+# Verdicts for the cases of the Amazon search-result rules.
+CASE_RULES = ["platform_constant", "platform_code_present", "name_present", "sp_positive", "sp_not_above_mrp",
+              "rating_bounds", "num_of_rating_not_null", "relative_rank_not_null", "campaign_id_not_null"]
+CASE_VERDICTS = VERDICTS.replace(
+    "concat('t_visibility|Amazon|rule_', CAST(user_id % 20 AS STRING)) AS case_id",
+    "concat('t_visibility_hourly|Amazon|', CASE user_id % 20 "
+    + " ".join(f"WHEN {i + 1} THEN '{r}'" for i, r in enumerate(CASE_RULES)) + " ELSE 'other' END) AS case_id")
+
+
 def crawl_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, CRAWL)
