@@ -179,7 +179,7 @@ CASE_RULES = ["platform_constant", "platform_code_present", "name_present", "sp_
 CASE_VERDICTS = VERDICTS.replace(
     "concat('t_visibility|Amazon|rule_', CAST(user_id % 20 AS STRING)) AS case_id",
     "concat('t_visibility_hourly|Amazon|', CASE user_id % 20 "
-    + " ".join(f"WHEN {i + 1} THEN '{r}'" for i, r in enumerate(CASE_RULES)) + " ELSE 'other' END) AS case_id")
+    + " ".join(f"WHEN {i + 1} THEN '{r}'" for i, r in enumerate(CASE_RULES)) + " ELSE 'other' END) AS case_id").replace("value / 500.0D", "CAST(user_id % 11 AS DOUBLE) / 10.0D")
 
 
 def crawl_view(spark: SparkSession, sf_dir: str) -> DataFrame:
