@@ -6,8 +6,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-# Any character that survives a Unicode-aware strip. U+001C..U+001F count as space.
-NON_BLANK = r"(?U)[^\s\x1c-\x1f]"
+# Every character a Unicode-aware strip removes.
+WHITE_SPACE = (" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+               "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 # Decimal syntax accepted as a number. Guards the cast, which alone would accept '1.5f'.
 NUMERIC_TEXT = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?)\s*$"
@@ -48,12 +49,21 @@ class Field:
 def present(col: Column, dtype: T.DataType) -> Column:
     """Not null and, for text, not blank. Float NaN is missing. Never null itself."""
     if isinstance(dtype, (T.StringType, T.VarcharType, T.CharType)):
-        return F.coalesce(col.rlike(NON_BLANK), F.lit(False))
+        return F.coalesce(not_blank(col), F.lit(False))
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         return col.isNotNull() & ~F.isnan(col)
     return col.isNotNull()
 
 
+def strip(col: Column) -> Column:
+    return F.btrim(col, F.lit(WHITE_SPACE))
+
+
+def not_blank(col: Column) -> Column:
+    """A text that starts with a visible ASCII character is settled by two byte comparisons."""
+    return ((col >= "!") & (col < "\x7f")) | (strip(col) != "")
+
+
 def to_number(col: Column, dtype: T.DataType) -> Column:
     """Double value, or null where the content is not a plain number."""
     if isinstance(dtype, (T.StringType, T.VarcharType, T.CharType)):

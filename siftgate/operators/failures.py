@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from siftgate.functions.values import ascending, count_where, sort_struct
 from siftgate.operators.group_checks import RUN, group_results
-from siftgate.operators.row_checks import (ENTRY, RULE_NO, Entries, row_rule_set, rule_facts)
+from siftgate.operators.row_checks import ENTRY, RULE_NO, Entries, row_rule_set, rule_facts, rule_ids
 from siftgate.plans.rules import RuleError, crawl_columns
 
 SAMPLE_ROWS = 5
@@ -46,7 +46,8 @@ def row_failures(df: DataFrame, rules, as_of=None, platform_column: str | None =
     totals = (tall.groupBy(F.col(ENTRY).alias("_e"), F.col("r.no").alias("_no"))
               .agg(F.sum("r.g").alias("total_count"), F.sum("n").alias("entry_rows"), F.sum("r.f").alias("_f"))
               .where(F.col("_f") > 0)
-              .select("_e", "_no", "total_count", "entry_rows", *rule_facts(bound, F.col("_no"))))
+              .select("_e", "_no", "total_count", "entry_rows", rule_facts(bound, F.col("_no")).alias("_rule"))
+              .select("_e", "_no", "total_count", "entry_rows", "_rule.*"))
     failed = tall.where(F.col("r.f") > 0)
     # totals hold one row per (entry, rule): bounded by the rule files, so safe to broadcast
     joined = failed.join(F.broadcast(totals), (F.col(ENTRY) == F.col("_e")) & (F.col("r.no") == F.col("_no")))
@@ -64,10 +65,11 @@ def group_failures(df: DataFrame, rules, as_of=None, platform_column: str | None
     # one row per entry, bounded by the configured platforms
     sizes = (entries.prepare(df).groupBy(F.col(ENTRY).alias("_e"))
              .agg(F.count(F.lit(1)).alias("entry_rows")))
-    bad = res.where(~F.col("ok")).join(F.broadcast(sizes), F.col(ENTRY) == F.col("_e"))
+    bad = (res.where(~F.col("ok")).join(F.broadcast(sizes), F.col(ENTRY) == F.col("_e"))
+           .withColumn("_rule", rule_facts(bound, F.col(RULE_NO))))
     return bad.select(
         F.lit(entries.dataset).alias("dataset"), F.col(ENTRY).alias("platform"),
-        *rule_facts(bound, F.col(RULE_NO)), F.col(RUN).alias("run_scope"), *keys,
+        "_rule.*", F.col(RUN).alias("run_scope"), *keys,
         F.col("group_rows").alias("failed_count"), F.col("group_rows").alias("total_count"), "entry_rows",
         "detail")
 
@@ -187,10 +189,9 @@ def rows_of_failing_groups(df: DataFrame, rules, columns: list[str], as_of=None,
     match = (F.col(ENTRY) == F.col("_e")) & (F.col("r.no") == F.col("_no"))
     for k in keys:
         match = match & F.when(~F.col("r.run"), F.col(k)).eqNullSafe(F.col(f"_k_{k}"))
-    ids = F.array(*[F.lit(b.rule.id) for b in bound])
     return guarded.join(bad, match, "left_semi").select(
         F.lit(entries.dataset).alias("dataset"), F.col(ENTRY).alias("platform_entry"),
-        ids[F.col("r.no")].alias("rule_id"), *columns)
+        rule_ids(bound, F.col("r.no")).alias("rule_id"), *columns)
 
 
 def union_entries(*cases: DataFrame) -> DataFrame:

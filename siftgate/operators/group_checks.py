@@ -1,9 +1,10 @@
 """Group checks: conditions on a whole crawl or run.
 
-All rules share one plan. Each guarded row contributes one (rule, group, value key) tuple, counted
-map-side; a second aggregate folds the value counts of a group into measures. A group that holds
-a third of all rows costs no more per task than any other, since the first shuffle is spread by
-value and the second moves at most one partial row per task and group.
+Checks that count rows (row_count_min, contains_all, share_max of one value) are plain conditional
+counts: all of them share one aggregate per crawl, and run-scope rules add up its rows. Checks on the
+spread of values (share_max, distinct_min, contiguous) count rows per value first and fold those counts
+per group. Either way rows are combined before every shuffle and a group that holds a third of all rows
+reaches a task as counts, never as rows.
 """
 
 from __future__ import annotations
@@ -11,10 +12,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Any, Callable
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from siftgate.functions.values import Field
-from siftgate.operators.row_checks import ENTRY, RULE_NO, Bound, Entries, same_kind
+from siftgate.functions.values import Field, count_where
+from siftgate.operators.row_checks import ENTRY, RULE_NO, Bound, Entries, rule_ids, same_kind
 from siftgate.plans.rules import Rule, RuleError, RuleSet, crawl_columns, field_of
 
 GROUP_CHECKS: dict[str, "GroupCheck"] = {}
@@ -29,57 +30,64 @@ GAP_BUCKET = 1 << 20
 
 @dataclass(frozen=True)
 class GroupCheck:
-    """``value_key(field, params)`` maps a row to the string that is counted;
-    ``ok(measures, params)`` and ``detail(measures, params)`` judge the folded counts."""
+    """``tally(field, params)`` says what is counted: a list of (label, condition) for conditional
+    counts, or one Column, the value key, for counts per value. ``ok`` and ``detail`` judge the
+    folded counts, given (measures, params)."""
 
-    value_key: Callable[[Field | None, dict], Column]
+    tally: Callable[[Field | None, dict], "list[tuple[str, Column]] | Column"]
     ok: Callable[["Measures", dict], Column]
     detail: Callable[["Measures", dict], Column]
-    wanted: Callable[[Field | None, dict], list[str]] = lambda fld, params: []
 
 
 class Measures:
-    """Columns available to judge a group."""
+    """Columns available to judge a group. ``value_rows`` counts the rows with a value, or those that
+    meet the first condition; ``missing`` lists the labels of conditions that no row meets."""
 
     def __init__(self):
         self.rows = F.col("group_rows")
         self.top_rows = F.col("top_rows")
         self.top_value = F.col("top_value")
         self.distinct = F.col("distinct_values")
-        self.present = F.col("value_rows")
+        self.value_rows = F.col("value_rows")
         self.low = F.col("low")
         self.high = F.col("high")
         self.missing = F.col("missing")
-        self.share = F.col("top_rows") / F.col("group_rows")
+
+
+MEASURES = ["group_rows", "top_value", "top_rows", "distinct_values", "value_rows", "low", "high", "missing"]
 
 
 def group_check(name: str, **parts):
+    """Register a group check under a name usable in rule files."""
     GROUP_CHECKS[name] = GroupCheck(**parts)
 
 
-def _text_key(fld: Field | None, params: dict) -> Column:
+def _column(fld: Field | None) -> Field:
     if fld is None:
         raise RuleError("this group check needs a column")
+    return fld
+
+
+def value_text(fld: Field | None, params: dict) -> Column:
+    fld = _column(fld)
     # adding 0.0 merges the two zeros, which print differently
     return (fld.col + F.lit(0.0)).cast("string") if fld.is_float else fld.text
 
 
-def _literal_text(value: Any, fld: Field) -> Column:
-    return F.lit(value).cast(fld.dtype).cast("string")
+def _equals(fld: Field, value: Any) -> Column:
+    if value is not None and not same_kind(value, fld):
+        return F.lit(False)
+    return fld.col.eqNullSafe(F.lit(value))
 
 
-def _share_key(fld: Field | None, params: dict) -> Column:
+def _share_tally(fld: Field | None, params: dict):
     if "value" not in params:
-        return _text_key(fld, params)
-    if not same_kind(params["value"], fld):
-        return F.lit(None).cast("string")
-    hit = fld.col.eqNullSafe(F.lit(params["value"]))
-    return F.when(hit, F.lit("hit"))
+        return value_text(fld, params)
+    return [(str(params["value"]), _equals(_column(fld), params["value"]))]
 
 
-def _share_ok(m: Measures, params: dict) -> Column:
-    top = m.present if "value" in params else m.top_rows
-    return (top / m.rows) <= F.lit(float(params["max_share"]))
+def _share_top(m: Measures, params: dict) -> Column:
+    return m.value_rows if "value" in params else m.top_rows
 
 
 def percent(share: Column) -> Column:
@@ -87,50 +95,35 @@ def percent(share: Column) -> Column:
 
 
 def _share_detail(m: Measures, params: dict) -> Column:
-    top = m.present if "value" in params else m.top_rows
     name = F.lit(str(params["value"])) if "value" in params else F.coalesce(m.top_value, F.lit("nan"))
-    return F.concat(F.lit("value '"), F.substring(name, 1, 80), F.lit("' covers "), percent(top / m.rows),
-                    F.lit(" of "), m.rows.cast("string"), F.lit(" rows (max allowed "),
-                    percent(F.lit(float(params["max_share"]))), F.lit(")"))
-
-
-def _integer_key(fld: Field | None, params: dict) -> Column:
-    if fld is None:
-        raise RuleError("contiguous needs a column")
-    return fld.number.cast("long").cast("string")
-
-
-def _contiguous_ok(m: Measures, params: dict) -> Column:
-    return (m.present == 0) | ((m.present == m.distinct) & (m.low == 1) & (m.high == m.present))
-
-
-def _wanted_values(fld: Field | None, params: dict) -> list[str]:
-    if fld is None:
-        raise RuleError("contains_all needs a column")
-    return sorted({str(v) for v in params["value"]})
+    return F.concat(F.lit("value '"), F.substring(name, 1, 80), F.lit("' covers "),
+                    percent(_share_top(m, params) / m.rows), F.lit(" of "), m.rows.cast("string"),
+                    F.lit(" rows (max allowed "), percent(F.lit(float(params["max_share"]))), F.lit(")"))
 
 
-def _wanted_key(fld: Field | None, params: dict) -> Column:
-    text = _text_key(fld, params)
-    return F.when(text.isin(_wanted_values(fld, params)), text)
+def _wanted(fld: Field | None, params: dict):
+    fld = _column(fld)
+    return [(str(v), _equals(fld, v)) for v in sorted(set(params["value"]), key=str)]
 
 
 group_check(
-    "share_max", value_key=_share_key, ok=_share_ok, detail=_share_detail)
+    "share_max", tally=_share_tally, detail=_share_detail,
+    ok=lambda m, p: (_share_top(m, p) / m.rows) <= F.lit(float(p["max_share"])))
 group_check(
-    "distinct_min", value_key=_text_key,
+    "distinct_min", tally=value_text,
     ok=lambda m, p: m.distinct >= F.lit(p["min"]),
     detail=lambda m, p: F.concat(m.distinct.cast("string"), F.lit(f" distinct values (min {p['min']})")))
 group_check(
-    "contiguous", value_key=_integer_key, ok=_contiguous_ok,
-    detail=lambda m, p: F.concat(m.present.cast("string"), F.lit(" ranks, expected 1.."),
-                                 m.present.cast("string"), F.lit(" contiguous")))
+    "contiguous", tally=lambda fld, p: _column(fld).number.cast("long").cast("string"),
+    ok=lambda m, p: (m.value_rows == 0) | ((m.value_rows == m.distinct) & (m.low == 1) & (m.high == m.value_rows)),
+    detail=lambda m, p: F.concat(m.value_rows.cast("string"), F.lit(" ranks, expected 1.."),
+                                 m.value_rows.cast("string"), F.lit(" contiguous")))
 group_check(
-    "row_count_min", value_key=lambda fld, p: F.lit(None).cast("string"),
+    "row_count_min", tally=lambda fld, p: [],
     ok=lambda m, p: m.rows >= F.lit(p["min"]),
     detail=lambda m, p: F.concat(m.rows.cast("string"), F.lit(f" rows (min {p['min']})")))
 group_check(
-    "contains_all", value_key=_wanted_key, wanted=_wanted_values,
+    "contains_all", tally=_wanted,
     ok=lambda m, p: F.size(m.missing) == 0,
     detail=lambda m, p: F.when(F.size(m.missing) == 0,
                                F.lit(f"All {len(set(p['value']))} required values are present."))
@@ -143,73 +136,109 @@ def _check_of(rule: Rule) -> GroupCheck:
     return GROUP_CHECKS[rule.check]
 
 
-def value_counts(df: DataFrame, rules, as_of=None, platform_column: str | None = None):
-    """Rows per (entry, rule, group, value): the shared first aggregate. Also returns the rules
-    bound to the table and the crawl columns that exist."""
-    entries = Entries.of(rules, platform_column)
-    ready = entries.prepare(df)
-    bound = entries.bind(ready.schema, False, as_of)
-    if not bound:
-        raise RuleError("no group rules")
-    keys = crawl_columns(df.columns, entries.crawl_key)
-    tuples = []
-    for i, b in enumerate(bound):
-        fld = field_of(ready.schema, b.rule)
-        tuples.append(F.when(b.applies, F.struct(
-            F.lit(i).alias("no"), F.lit(b.rule.scope != "crawl").alias("run"),
-            _check_of(b.rule).value_key(fld, b.rule.params).alias("value"))))
-    t = ready.select(ENTRY, *keys, F.explode(F.array(*tuples)).alias("t")).where(F.col("t").isNotNull())
-    counts = (t.select(ENTRY, F.col("t.no").alias(RULE_NO), F.col("t.run").alias(RUN),
-                       *[F.when(~F.col("t.run"), F.col(k)).alias(k) for k in keys],
-                       F.col("t.value").alias(VALUE))
-              .groupBy(ENTRY, RULE_NO, RUN, *keys, VALUE).agg(F.count(F.lit(1)).alias(ROWS)))
-    return counts, bound, keys, entries
-
-
-def group_measures(counts: DataFrame, bound: list[Bound], keys: list[str], schema: T.StructType) -> DataFrame:
-    """Fold value counts into one row per (entry, rule, group)."""
+Numbered = list[tuple[int, Bound, Any]]
+
+
+def counted_groups(ready: DataFrame, rules: Numbered, keys: list[str]) -> DataFrame:
+    """Groups of the conditional-count rules, all from one aggregate."""
+    crawl = [n for n, b, _ in rules if b.rule.scope == "crawl"]
+    run = [n for n, b, _ in rules if b.rule.scope != "crawl"]
+    by = keys if crawl else []
+    width = max(len(tests) for _, _, tests in rules)
+    aggs = []
+    for n, b, tests in rules:
+        aggs.append(count_where(b.applies).alias(f"g{n}"))
+        aggs += [count_where(b.applies & test).alias(f"h{n}_{k}") for k, (_, test) in enumerate(tests)]
+    wide = ready.groupBy(ENTRY, *by).agg(*aggs)
+    tall = wide.select(ENTRY, *by, F.explode(F.array(*[F.struct(
+        F.lit(n).alias("no"), F.col(f"g{n}").alias("g"),
+        *[(F.col(f"h{n}_{k}") if k < len(tests) else F.lit(0).cast("long")).alias(f"h{k}") for k in range(width)])
+        for n, b, tests in rules])).alias("r")).where(F.col("r.g") > 0)
+    parts = []
+    if crawl:
+        parts.append(tall.where(F.col("r.no").isin(crawl)).select(
+            ENTRY, F.col("r.no").alias(RULE_NO), F.lit(False).alias(RUN), *keys, F.col("r.g").alias("group_rows"),
+            *[F.col(f"r.h{k}").alias(f"h{k}") for k in range(width)]))
+    if run:
+        nothing = [F.lit(None).cast(ready.schema[k].dataType).alias(k) for k in keys]
+        parts.append(tall.where(F.col("r.no").isin(run)).groupBy(ENTRY, F.col("r.no").alias(RULE_NO)).agg(
+            F.sum("r.g").alias("group_rows"), *[F.sum(f"r.h{k}").alias(f"h{k}") for k in range(width)])
+            .select(ENTRY, RULE_NO, F.lit(True).alias(RUN), *nothing, "group_rows", *[f"h{k}" for k in range(width)]))
+    groups = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    missing = F.array().cast("array<string>")
+    for n, _, tests in rules:
+        if tests:
+            absent = F.array_compact(F.array(*[F.when(F.col(f"h{k}") == 0, F.lit(label))
+                                               for k, (label, _) in enumerate(tests)]))
+            missing = F.when(F.col(RULE_NO) == n, absent).otherwise(missing)
+    return groups.select(
+        ENTRY, RULE_NO, RUN, *keys, "group_rows", F.lit(None).cast("string").alias("top_value"),
+        F.lit(None).cast("long").alias("top_rows"), F.lit(None).cast("long").alias("distinct_values"),
+        (F.col("h0") if width else F.lit(None).cast("long")).alias("value_rows"),
+        F.lit(None).cast("long").alias("low"), F.lit(None).cast("long").alias("high"), missing.alias("missing"))
+
+
+def valued_groups(ready: DataFrame, rules: Numbered, keys: list[str]) -> DataFrame:
+    """Groups of the value rules: rows per (rule, group, value), then folded per (rule, group)."""
+    ranks = [n for n, b, _ in rules if b.rule.check == "contiguous"]
+    if len(rules) == 1:  # a guard of one rule can reach the scan
+        n, b, value = rules[0]
+        crawl = b.rule.scope == "crawl"
+        tuples = ready.where(b.applies).select(
+            ENTRY, F.lit(n).alias(RULE_NO), F.lit(not crawl).alias(RUN),
+            *[F.col(k) if crawl else F.lit(None).cast(ready.schema[k].dataType).alias(k) for k in keys],
+            value.alias(VALUE))
+    else:
+        each = F.array(*[F.when(b.applies, F.struct(
+            F.lit(n).alias("no"), F.lit(b.rule.scope != "crawl").alias("run"), value.alias("value")))
+            for n, b, value in rules])
+        t = ready.select(ENTRY, *keys, F.explode(each).alias("t")).where(F.col("t").isNotNull())
+        tuples = t.select(ENTRY, F.col("t.no").alias(RULE_NO), F.col("t.run").alias(RUN),
+                          *[F.when(~F.col("t.run"), F.col(k)).alias(k) for k in keys], F.col("t.value").alias(VALUE))
     value, n = F.col(VALUE), F.col(ROWS)
-    number = value.try_cast("long")
-    wanted = F.array(*[
-        F.array(*[F.lit(w) for w in _check_of(b.rule).wanted(field_of(schema, b.rule), b.rule.params)])
-        .cast("array<string>") for b in bound])[F.col(RULE_NO)]
+    # only rank keys are numbers; a failing cast of other keys would cost an exception each
+    number = F.when(F.col(RULE_NO).isin(ranks), value.try_cast("long")) if ranks else F.lit(None).cast("long")
+    counts = tuples.groupBy(ENTRY, RULE_NO, RUN, *keys, VALUE).agg(F.count(F.lit(1)).alias(ROWS))
     # most frequent value; ties go to the smallest value, null last
     top = F.min(F.struct((-n).alias("n"), value.isNull().alias("z"), value.alias("v")))
-    # only rules with a wanted list collect, and only values of that list
-    found = F.collect_set(F.when(F.array_contains(wanted, value), value))
-    return (counts.groupBy(ENTRY, RULE_NO, RUN, *keys)
-            .agg(F.sum(n).alias("group_rows"), top.alias("top"),
-                 F.count(value).alias("distinct_values"),
-                 F.coalesce(F.sum(F.when(value.isNotNull(), n)), F.lit(0)).alias("value_rows"),
-                 F.min(number).alias("low"), F.max(number).alias("high"), found.alias("found"))
-            .withColumn("top_rows", -F.col("top.n")).withColumn("top_value", F.col("top.v"))
-            .withColumn("missing", F.array_sort(F.array_except(wanted, F.col("found"))))
-            .drop("top", "found"))
+    folded = counts.groupBy(ENTRY, RULE_NO, RUN, *keys).agg(
+        F.sum(n).alias("group_rows"), top.alias("top"), F.count(value).alias("distinct_values"),
+        F.coalesce(F.sum(F.when(value.isNotNull(), n)), F.lit(0)).alias("value_rows"),
+        F.min(number).alias("low"), F.max(number).alias("high"))
+    return folded.select(ENTRY, RULE_NO, RUN, *keys, "group_rows", F.col("top.v").alias("top_value"),
+                         (-F.col("top.n")).alias("top_rows"), "distinct_values", "value_rows", "low", "high",
+                         F.array().cast("array<string>").alias("missing"))
 
 
 def group_results(df: DataFrame, rules, as_of=None, platform_column: str | None = None):
-    """Every judged group with its measures. Returns (results, bound, keys, entries)."""
-    counts, bound, keys, entries = value_counts(df, rules, as_of, platform_column)
-    schema = entries.prepare(df).schema
+    """Every judged group with its measures. Returns (results, bound rules, crawl keys, entries)."""
+    entries = Entries.of(rules, platform_column)
+    ready = entries.prepare(df)
+    bound = entries.bind(ready.schema, False, as_of)
+    if not bound:
+        raise RuleError("no group rules")
+    keys = crawl_columns(df.columns, entries.crawl_key)
+    numbered = [(n, b, _check_of(b.rule).tally(field_of(ready.schema, b.rule), b.rule.params))
+                for n, b in enumerate(bound)]
+    counted = [x for x in numbered if isinstance(x[2], list)]
+    valued = [x for x in numbered if not isinstance(x[2], list)]
+    parts = [make(ready, some, keys) for make, some in ((counted_groups, counted), (valued_groups, valued)) if some]
+    groups = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     m = Measures()
     ok, detail = F.lit(None).cast("boolean"), F.lit(None).cast("string")
-    for i, b in enumerate(bound):
+    for n, b in enumerate(bound):
         check = _check_of(b.rule)
-        ok = F.when(F.col(RULE_NO) == i, check.ok(m, b.rule.params)).otherwise(ok)
-        detail = F.when(F.col(RULE_NO) == i, check.detail(m, b.rule.params)).otherwise(detail)
-    res = (group_measures(counts, bound, keys, schema)
-           .withColumn("ok", ok).withColumn("detail", detail))
-    return res, bound, keys, entries
+        ok = F.when(F.col(RULE_NO) == n, check.ok(m, b.rule.params)).otherwise(ok)
+        detail = F.when(F.col(RULE_NO) == n, check.detail(m, b.rule.params)).otherwise(detail)
+    return groups.select("*", ok.alias("ok"), detail.alias("detail")), bound, keys, entries
 
 
 def group_rule_set(df: DataFrame, rules, as_of=None, platform_column: str | None = None) -> DataFrame:
     """One row per (rule, group) with the verdict and the measures behind it."""
     res, bound, keys, entries = group_results(df, rules, as_of, platform_column)
-    ids = F.array(*[F.lit(b.rule.id) for b in bound])
     return res.select(F.lit(entries.dataset).alias("dataset"), F.col(ENTRY).alias("platform_entry"),
-                      ids[F.col(RULE_NO)].alias("rule_id"), F.col(RUN).alias("run_scope"), *keys,
-                      "ok", "group_rows", "top_value", "top_rows", "distinct_values", "value_rows",
-                      "low", "high", "missing", "detail")
+                      rule_ids(bound, F.col(RULE_NO)).alias("rule_id"), F.col(RUN).alias("run_scope"), *keys,
+                      "ok", *MEASURES, "detail")
 
 
 def single(df: DataFrame, check: str, column: str | None, params: dict, crawl_key: list[str],

@@ -7,6 +7,7 @@ true where the row passes. Missing values pass everything except not_null and co
 from __future__ import annotations
 
 import datetime as dt
+import json
 from dataclasses import dataclass
 from typing import Callable
 
@@ -217,19 +218,20 @@ class Entries:
         return bound
 
 
-def rule_facts(bound: list[Bound], number: Column) -> list[Column]:
-    """Rule attributes looked up by number in a literal array: no join, no broadcast."""
-    table = F.array(*[
-        F.struct(
-            F.lit(b.rule.id).alias("rule_id"), F.lit(b.rule.column).cast("string").alias("column"),
-            F.lit(b.rule.check).alias("check"), F.lit(b.rule.scope).alias("scope"),
-            F.lit(b.rule.severity).alias("severity"), F.lit(b.rule.on_fail).alias("on_fail"),
-            F.lit(b.rule.description).alias("description"),
-            F.lit(b.rule.force_escalate_above).cast("double").alias("force_escalate_above"),
-        ) for b in bound])
-    return [table[number][f].alias(f) for f in
-            ("rule_id", "column", "check", "scope", "severity", "on_fail", "description",
-             "force_escalate_above")]
+FACTS = ("rule_id string, column string, check string, scope string, severity string, on_fail string, "
+         "description string, force_escalate_above double")
+
+
+def rule_facts(bound: list[Bound], number: Column) -> Column:
+    """Rule attributes as a struct, looked up by number in a literal table: no join, no broadcast."""
+    table = [{**{k: getattr(b.rule, k) for k in ("column", "check", "scope", "severity", "on_fail", "description",
+                                                 "force_escalate_above")}, "rule_id": b.rule.id} for b in bound]
+    return F.from_json(F.lit(json.dumps(table)), f"array<struct<{FACTS.replace(' ', ':').replace(',:', ', ')}>>")[number]
+
+
+def rule_ids(bound: list[Bound], number: Column) -> Column:
+    quoted = (b.rule.id.replace("\\", "\\\\").replace("'", "\\'") for b in bound)
+    return F.expr("array(" + ", ".join(f"'{q}'" for q in quoted) + ")")[number]
 
 
 def row_rule_set(df: DataFrame, rules, as_of=None, keep: list[str] | None = None,
@@ -246,9 +248,8 @@ def row_rule_set(df: DataFrame, rules, as_of=None, keep: list[str] | None = None
         raise RuleError("no row rules")
     failed = F.array_remove(F.array(*[F.when(b.fails, i).otherwise(-1) for i, b in enumerate(bound)]), -1)
     tagged = ready.select(F.col(ENTRY), *[F.col(c) for c in cols], F.explode(failed).alias(RULE_NO))
-    ids = F.array(*[F.lit(b.rule.id) for b in bound])
     return tagged.select(F.lit(entries.dataset).alias("dataset"), F.col(ENTRY).alias("platform_entry"),
-                         ids[F.col(RULE_NO)].alias("rule_id"), *[F.col(c) for c in cols])
+                         rule_ids(bound, F.col(RULE_NO)).alias("rule_id"), *[F.col(c) for c in cols])
 
 
 def failing_counts(df: DataFrame, rules, as_of=None, platform_column: str | None = None) -> DataFrame:
@@ -262,9 +263,8 @@ def failing_counts(df: DataFrame, rules, as_of=None, platform_column: str | None
     rows = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"g{i}").alias("g"), F.col(f"f{i}").alias("f"))
                      for i, _ in enumerate(bound)])
     covered = F.array(*[F.array(*[F.lit(p) for p in b.entries]) for b in bound])
-    ids = F.array(*[F.lit(b.rule.id) for b in bound])
     return (wide.select(ENTRY, F.explode(rows).alias("r"))
             .where(F.array_contains(covered[F.col("r.i")], F.col(ENTRY)))
             .select(F.lit(entries.dataset).alias("dataset"), F.col(ENTRY).alias("platform"),
-                    ids[F.col("r.i")].alias("rule_id"), F.col("r.g").alias("guarded"),
+                    rule_ids(bound, F.col("r.i")).alias("rule_id"), F.col("r.g").alias("guarded"),
                     (F.col("r.g") - F.col("r.f")).alias("passed"), F.col("r.f").alias("failed")))

@@ -13,10 +13,10 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only where the session names none (tests, a laptop) is a local folder set.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="siftgate-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 

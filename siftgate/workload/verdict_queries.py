@@ -126,7 +126,7 @@ def drift_flag(spark, d):
 
 
 @query("f7_parse_replies", """
-SELECT event_id, CASE WHEN event_type = 'error' THEN 'no_json' WHEN event_type = 'signup' THEN 'no_json'
+SELECT event_id, CASE WHEN event_type = 'error' THEN 'no_json' WHEN event_type = 'signup' THEN CASE WHEN user_id % 2 = 0 THEN 'no_json' ELSE 'malformed' END
     WHEN user_id % 5 = 0 OR user_id > 1 THEN 'invalid' ELSE 'valid' END AS reply_state,
   CASE WHEN event_type NOT IN ('error', 'signup') AND user_id % 5 <> 0 AND user_id <= 1 THEN
     CASE WHEN user_id % 3 = 0 THEN 'site_change' ELSE 'legitimate' END END AS cause,
@@ -141,7 +141,8 @@ def parse_replies(spark, d):
 SELECT event_type, count(*) AS replies,
   count(*) FILTER (WHERE event_type NOT IN ('error', 'signup') AND user_id % 5 <> 0 AND user_id <= 1) AS valid,
   count(*) FILTER (WHERE event_type NOT IN ('error', 'signup') AND (user_id % 5 = 0 OR user_id > 1)) AS invalid,
-  CAST(0 AS BIGINT) AS malformed, count(*) FILTER (WHERE event_type IN ('error', 'signup')) AS no_json
+  count(*) FILTER (WHERE event_type = 'signup' AND user_id % 2 = 1) AS malformed,
+  count(*) FILTER (WHERE event_type = 'error' OR (event_type = 'signup' AND user_id % 2 = 0)) AS no_json
 FROM events GROUP BY event_type""")
 def reply_validity(spark, d):
     return rc.reply_validity(rc.parse_replies(view(spark, d, REPLIES), "text"), ["event_type"])

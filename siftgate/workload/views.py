@@ -55,17 +55,18 @@ MARKET = CRAWL.replace("CASE WHEN l.l_suppkey % 50 = 0 THEN 'amazon' ELSE 'Amazo
 VERDICTS = """
 SELECT concat('t_visibility|Amazon|rule_', CAST(user_id % 20 AS STRING)) AS case_id,
   event_id AS row_seq,
-  CASE WHEN event_type = 'error' THEN NULL
+  CASE WHEN failed THEN NULL
        WHEN event_type = 'purchase' AND user_id % 2 = 0 THEN TRUE ELSE FALSE END AS true_positive,
-  CASE event_type WHEN 'purchase' THEN CASE WHEN value > 60 THEN 'site_change' ELSE 'xpath_drift' END
-                  WHEN 'view' THEN 'not_applicable'
-                  WHEN 'click' THEN 'legitimate' WHEN 'signup' THEN 'unknown' END AS cause,
-  CASE WHEN event_type <> 'error' THEN value / 500.0D END AS confidence,
-  CASE WHEN event_type <> 'error' THEN concat('seen ', CAST(event_id AS STRING)) END AS explanation,
-  CASE WHEN event_type = 'error' THEN concat('timeout ', CAST(event_id AS STRING)) END AS error,
+  CASE WHEN failed THEN NULL
+       WHEN event_type = 'purchase' THEN CASE WHEN value > 60 THEN 'site_change' ELSE 'xpath_drift' END
+       WHEN event_type = 'view' THEN 'not_applicable'
+       WHEN event_type = 'click' THEN 'legitimate' ELSE 'unknown' END AS cause,
+  CASE WHEN NOT failed THEN value / 500.0D END AS confidence,
+  CASE WHEN NOT failed THEN concat('seen ', CAST(event_id AS STRING)) END AS explanation,
+  CASE WHEN failed THEN concat('timeout ', CAST(event_id AS STRING)) END AS error,
   concat('model-', CAST(user_id % 3 AS STRING)) AS model,
   CAST(event_id % 4 AS INT) AS run
-FROM events WHERE user_id % 20 <> 1 OR event_type = 'error'
+FROM (SELECT *, event_type = 'error' OR user_id % 20 = 1 AS failed FROM events) e
 """
 
 CALLS = """
@@ -141,7 +142,8 @@ FROM ({CRAWL}) c WHERE stock_status = 'Currently unavailable' GROUP BY keyword,
 REPLIES = """
 SELECT event_id, event_type,
   CASE WHEN event_type = 'error' THEN concat('no answer for ', CAST(event_id AS STRING))
-       WHEN event_type = 'signup' THEN '{"true_positive": true, "cause": "xpath_drift", "confid'
+       WHEN event_type = 'signup' AND user_id % 2 = 0 THEN '{"true_positive": true, "cause": "xpath_drift", "confid'
+       WHEN event_type = 'signup' THEN 'Here: {"true_positive": tru, "cause"} end'
        ELSE concat(CASE WHEN event_type = 'click' THEN 'Sure:\n```json\n' ELSE 'Verdict ' END,
          '{"true_positive": ', CASE WHEN user_id % 2 = 0 THEN 'true' ELSE 'false' END,
          ', "cause": "', CASE WHEN user_id % 5 = 0 THEN 'other' WHEN user_id % 3 = 0 THEN 'site_change' ELSE 'legitimate' END,
