@@ -11,7 +11,7 @@ def verdicts(spark, values, ddl, rule, as_of=None):
     return [r[0] for r in df.orderBy("i").select(passes(df.schema, rule, as_of)).collect()]
 
 
-BLANKS = [None, "", "  ", "\t\n", " ", "\x1c", "　"]
+BLANKS = [None, "", "  ", "\t\n", "\u00a0", "\x1c", "\u3000"]
 
 
 def test_blank_text_is_missing(spark):
