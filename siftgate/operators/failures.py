@@ -13,6 +13,7 @@ from siftgate.functions.values import ascending, count_where, sort_struct
 from siftgate.operators.group_checks import RUN, group_results
 from siftgate.operators.row_checks import ENTRY, RULE_NO, Entries, row_rule_set, rule_facts, rule_ids
 from siftgate.plans.rules import RuleError, crawl_columns
+from siftgate.sources.storage import materialise
 
 SAMPLE_ROWS = 5
 DETAILS = 3
@@ -170,7 +171,7 @@ def case_samples(df: DataFrame, rules, columns: list[str], as_of=None, limit: in
     if any(s.row_rules() for s in entries.rulesets):
         parts.append(row_rule_set(df, entries, as_of, keep=carried))
     if any(s.group_rules() for s in entries.rulesets):
-        parts.append(rows_of_failing_groups(df, entries, carried, as_of))
+        parts.append(rows_of_failing_groups(df, entries, carried, as_of, first=None if per_crawl else limit))
     tagged = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     group = ["dataset", "platform_entry", "rule_id", *(keys if per_crawl else [])]
     rank = Window.partitionBy(*group).orderBy(*ascending(carried))
@@ -178,20 +179,41 @@ def case_samples(df: DataFrame, rules, columns: list[str], as_of=None, limit: in
 
 
 def rows_of_failing_groups(df: DataFrame, rules, columns: list[str], as_of=None,
-                           platform_column: str | None = None) -> DataFrame:
-    """Guarded rows that belong to a failing crawl or run."""
+                           platform_column: str | None = None, first: int | None = None) -> DataFrame:
+    """Guarded rows that belong to a failing crawl or run.
+
+    With ``first``, only the first failing crawls of each rule. That is enough for as many samples in
+    crawl order, since each of them has a row, and leaves a handful of keys to look up.
+    """
     res, bound, keys, entries = group_results(df, rules, as_of, platform_column)
-    bad = res.where(~F.col("ok")).select(F.col(ENTRY).alias("_e"), F.col(RULE_NO).alias("_no"),
-                                         F.col(RUN).alias("_all"), *[F.col(k).alias(f"_k_{k}") for k in keys])
-    guarded = entries.prepare(df).select(ENTRY, *columns, F.explode(F.filter(F.array(*[
-        F.when(b.applies, F.struct(F.lit(i).alias("no"), F.lit(b.rule.scope != "crawl").alias("run")))
-        for i, b in enumerate(bound)]), lambda x: x.isNotNull())).alias("r"))
-    match = (F.col(ENTRY) == F.col("_e")) & (F.col("r.no") == F.col("_no"))
-    for k in keys:
-        match = match & F.when(~F.col("r.run"), F.col(k)).eqNullSafe(F.col(f"_k_{k}"))
-    return guarded.join(bad, match, "left_semi").select(
-        F.lit(entries.dataset).alias("dataset"), F.col(ENTRY).alias("platform_entry"),
-        rule_ids(bound, F.col("r.no")).alias("rule_id"), *columns)
+    bad = res.where(~F.col("ok")).select(ENTRY, RULE_NO, *keys)
+    if first is not None:
+        rank = Window.partitionBy(ENTRY, RULE_NO).orderBy(*(ascending(keys) or [F.lit(0)]))
+        # a few rows per rule, written once: both parts below read them without checking again
+        bad = materialise(bad.withColumn("_r", F.row_number().over(rank)).where(F.col("_r") <= first).drop("_r"))
+    ready = entries.prepare(df)
+
+    def rows_of(numbered, by: list[str]) -> DataFrame:
+        """Rows under the guard of a failing rule, in the failing crawl when ``by`` names its keys."""
+        numbers = [n for n, _ in numbered]
+        keyed = bad.where(F.col(RULE_NO).isin(numbers)).select(
+            F.col(ENTRY).alias("_e"), F.col(RULE_NO).alias("_no"), *[F.col(k).alias(f"_k_{k}") for k in by])
+        crawls = keyed.select("_e", *[f"_k_{k}" for k in by]).distinct()
+        if first is not None:  # at most ``first`` rows per rule and entry of the rule files
+            keyed, crawls = F.broadcast(keyed), F.broadcast(crawls)
+        here = F.col(ENTRY) == F.col("_e")
+        for k in by:
+            here = here & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+        rows = ready.join(crawls, here, "left_semi")  # first down to the crawls in question
+        applied = F.array_remove(F.array(*[F.when(b.applies, n).otherwise(-1) for n, b in numbered]), -1)
+        tagged = rows.select(ENTRY, *columns, *[c for c in by if c not in columns], F.explode(applied).alias("_n"))
+        return tagged.join(keyed, here & (F.col("_n") == F.col("_no")), "left_semi").select(
+            F.lit(entries.dataset).alias("dataset"), F.col(ENTRY).alias("platform_entry"),
+            rule_ids(bound, F.col("_n")).alias("rule_id"), *columns)
+
+    scopes = [[(n, b) for n, b in enumerate(bound) if (b.rule.scope == "crawl") == crawl] for crawl in (True, False)]
+    parts = [rows_of(numbered, by) for numbered, by in zip(scopes, (keys, [])) if numbered]
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def union_entries(*cases: DataFrame) -> DataFrame:

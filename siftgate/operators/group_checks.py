@@ -199,14 +199,18 @@ def valued_groups(ready: DataFrame, rules: Numbered, keys: list[str]) -> DataFra
     # only rank keys are numbers; a failing cast of other keys would cost an exception each
     number = F.when(F.col(RULE_NO).isin(ranks), value.try_cast("long")) if ranks else F.lit(None).cast("long")
     counts = tuples.groupBy(ENTRY, RULE_NO, RUN, *keys, VALUE).agg(F.count(F.lit(1)).alias(ROWS))
-    # most frequent value; ties go to the smallest value, null last
-    top = F.min(F.struct((-n).alias("n"), value.isNull().alias("z"), value.alias("v")))
+    # most frequent value; ties go to the smallest value, null last. Left out where no rule asks for
+    # it: without this struct the aggregate hashes instead of sorting.
+    top = [F.min(F.struct((-n).alias("n"), value.isNull().alias("z"), value.alias("v"))).alias("top")]
+    if all(b.rule.check in ("distinct_min", "contiguous") for _, b, _ in rules):
+        top = []
     folded = counts.groupBy(ENTRY, RULE_NO, RUN, *keys).agg(
-        F.sum(n).alias("group_rows"), top.alias("top"), F.count(value).alias("distinct_values"),
+        F.sum(n).alias("group_rows"), *top, F.count(value).alias("distinct_values"),
         F.coalesce(F.sum(F.when(value.isNotNull(), n)), F.lit(0)).alias("value_rows"),
         F.min(number).alias("low"), F.max(number).alias("high"))
-    return folded.select(ENTRY, RULE_NO, RUN, *keys, "group_rows", F.col("top.v").alias("top_value"),
-                         (-F.col("top.n")).alias("top_rows"), "distinct_values", "value_rows", "low", "high",
+    best = ([F.col("top.v").alias("top_value"), (-F.col("top.n")).alias("top_rows")] if top else
+            [F.lit(None).cast("string").alias("top_value"), F.lit(None).cast("long").alias("top_rows")])
+    return folded.select(ENTRY, RULE_NO, RUN, *keys, "group_rows", *best, "distinct_values", "value_rows", "low", "high",
                          F.array().cast("array<string>").alias("missing"))
 
 
