@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from siftgate.functions.values import null_normalise
 from siftgate.operators.row_checks import failing_counts, passes, row_rule_set
