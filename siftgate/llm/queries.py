@@ -34,7 +34,7 @@ def tokenizer() -> tuple[str, str]:
 def coded_digest(docs: DataFrame) -> DataFrame:
     path, pattern = tokenizer()
     coded = byte_bpe.encode_decode(docs.select("doc_id", "text"), path, pattern)
-    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2("ids_bytes", 256).alias("ids_sha256"),
+    return coded.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
