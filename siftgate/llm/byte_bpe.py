@@ -127,22 +127,36 @@ def encode_decode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches):
         import regex
 
-        ranks, cut, known = shared.value, regex.compile(pattern).findall, {}
+        ranks, cut, gap, known = shared.value, regex.compile(pattern).findall, regex.compile(r"\s\s|^\s|\s$").search, {}
         tokens = ranks.tokens.__getitem__
+
+        def chunks(text: str) -> list[str]:
+            """Parts that the pattern treats alone: between single blanks, each with its blank, where white space is single."""
+            if not text or gap(text):
+                return [text] if text else []
+            return text.replace(" ", "\0 ").split("\0") if "\0" not in text else [text]
+
+        def learn(new: list[str]) -> None:
+            parts = [cut(x) for x in new]
+            fresh = list({p for row in parts for p in row})
+            ids = dict(zip(fresh, ranks.fold([p.encode() for p in fresh])))
+            known.update(zip(new, (b"".join(map(ids.__getitem__, row)) for row in parts)))
+
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text"))
             start = 0
             while start < len(batch):
                 rows, stop, size = [], start, 0
                 while stop < len(batch) and size < 1 << 20:
-                    rows.append(cut(texts[stop].as_py() or ""))
-                    size += sum(map(len, rows[-1]))
+                    text = texts[stop].as_py() or ""
+                    rows.append(chunks(text))
+                    size += len(text)
                     stop += 1
                 if len(known) > CACHE:
                     known.clear()
                 new = list({p for row in rows for p in row}.difference(known))
                 if new:
-                    known.update(zip(new, ranks.fold([p.encode() for p in new])))
+                    learn(new)
                 ids = [b"".join(map(known.__getitem__, row)) for row in rows]
                 decoded = [b"".join(map(tokens, np.frombuffer(x, "<u4").tolist())) for x in ids]
                 part = batch.slice(start, stop - start)
