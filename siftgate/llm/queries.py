@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from siftgate.llm import byte_bpe, line_rules
+from siftgate.llm import automaton_dedup, byte_bpe, line_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -84,3 +84,9 @@ FROM base
 @query("op8_line_frequency_rules", LINE_RULES_SQL)
 def op8(spark, sf_dir):
     return line_rules.line_frequency_rules(documents(spark, sf_dir))
+
+
+@query("op4_automaton_dedup")
+def op4(spark, sf_dir):
+    out = automaton_dedup.remove_passages(documents(spark, sf_dir))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))

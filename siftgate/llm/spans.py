@@ -136,3 +136,26 @@ def minimisers(grams: np.ndarray, reach: int) -> np.ndarray:
         a, b = best[:n], best[gap:gap + n]
         place = np.where(b < a, place[gap:gap + n], place[:n])
     return place[:n]
+
+
+def anchor_runs(sums: np.ndarray, at: np.ndarray, window: int, gram: int):
+    """Windows of ``window`` values by the least of their grams, the anchor: runs of window starts with one anchor.
+
+    ``sums`` are prefix sums over a slice, ``at`` the first value of each row. Returns row, anchor hash, first start and
+    end of the starts, counted from the row's first value. Equal windows have equal anchors at equal distances.
+    """
+    n = len(sums) - 1
+    empty = np.zeros(0, np.int64)
+    if n < window:
+        return empty, np.zeros(0, np.uint64), empty, empty
+    grams = ranges(sums, np.arange(n - gram + 1), np.arange(gram, n + 1))
+    place = minimisers(grams, window - gram + 1)
+    row = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    starts = np.flatnonzero(row[:n - window + 1] == row[window - 1:])
+    if not len(starts):
+        return empty, np.zeros(0, np.uint64), empty, empty
+    place = place[starts]
+    first = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]) | (starts[1:] != starts[:-1] + 1)])
+    last = np.r_[first[1:], len(starts)] - 1
+    owner = row[starts[first]]
+    return owner, grams[place[first]], starts[first] - at[owner], starts[last] + 1 - at[owner]
