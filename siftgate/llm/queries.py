@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from siftgate.llm import automaton_dedup, byte_bpe, line_rules
+from siftgate.llm import automaton_dedup, byte_bpe, line_rules, suffix_groups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -90,3 +90,9 @@ def op8(spark, sf_dir):
 def op4(spark, sf_dir):
     out = automaton_dedup.remove_passages(documents(spark, sf_dir))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op10_suffix_groups")
+def op10(spark, sf_dir):
+    out = suffix_groups.remove_repeats(documents(spark, sf_dir))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
