@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from siftgate.llm import automaton_dedup, byte_bpe, line_rules, suffix_groups
+from siftgate.llm import automaton_dedup, byte_bpe, line_rules, set_join, suffix_groups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -96,3 +96,8 @@ def op4(spark, sf_dir):
 def op10(spark, sf_dir):
     out = suffix_groups.remove_repeats(documents(spark, sf_dir))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op7_set_relation_join")
+def op7(spark, sf_dir):
+    return set_join.similar_sets(documents(spark, sf_dir))
