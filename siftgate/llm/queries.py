@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from siftgate.llm import automaton_dedup, byte_bpe, line_rules, set_join, suffix_groups
+from siftgate.llm import automaton_dedup, byte_bpe, fuzzy_lines, line_rules, set_join, suffix_groups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -101,3 +101,9 @@ def op10(spark, sf_dir):
 @query("op7_set_relation_join")
 def op7(spark, sf_dir):
     return set_join.similar_sets(documents(spark, sf_dir))
+
+
+@query("op9_fuzzy_lines")
+def op9(spark, sf_dir):
+    out = fuzzy_lines.remove_fuzzy_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
