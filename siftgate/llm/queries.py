@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from siftgate.llm import automaton_dedup, byte_bpe, fuzzy_lines, line_rules, set_join, suffix_groups
+from siftgate.llm import automaton_dedup, byte_bpe, decontaminate, fuzzy_lines, line_rules, set_join, suffix_groups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -107,3 +107,8 @@ def op7(spark, sf_dir):
 def op9(spark, sf_dir):
     out = fuzzy_lines.remove_fuzzy_lines(documents(spark, sf_dir).select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op2_cgk_decontamination")
+def op2(spark, sf_dir):
+    return decontaminate.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

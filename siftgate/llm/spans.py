@@ -79,9 +79,9 @@ class Slice:
     def text(self, i: int) -> bytes:
         return self.data[self.at[i]:self.at[i + 1]].tobytes()
 
-    def words(self, table: np.ndarray = BYTE, hashed: bool = True) -> "Words":
+    def words(self, table: np.ndarray = BYTE, hashed: bool = True, white: np.ndarray = WHITE) -> "Words":
         data, at = self.data, self.at
-        inside = ~WHITE[data]
+        inside = ~white[data]
         opens = np.zeros(len(data) + 1, bool)
         opens[at[:-1]] = True
         begin = inside.copy()
