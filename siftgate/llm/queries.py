@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from siftgate.llm import automaton_dedup, byte_bpe, decontaminate, fuzzy_lines, line_rules, set_join, suffix_groups
+from siftgate.llm import automaton_dedup, byte_bpe, decontaminate, fuzzy_lines, line_rules, quality_model, set_join, suffix_groups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -112,3 +112,8 @@ def op9(spark, sf_dir):
 @query("op2_cgk_decontamination")
 def op2(spark, sf_dir):
     return decontaminate.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query("op1_weak_label_quality")
+def op1(spark, sf_dir):
+    return quality_model.quality(documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", "weak", "score", "kept")
