@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from siftgate.llm import automaton_dedup, byte_bpe, decontaminate, fuzzy_lines, line_rules, quality_model, set_join, suffix_groups
+from siftgate.llm import automaton_dedup, byte_bpe, decontaminate, fuzzy_lines, line_rules, pii_boost, quality_model, set_join, suffix_groups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -117,3 +117,11 @@ def op2(spark, sf_dir):
 @query("op1_weak_label_quality")
 def op1(spark, sf_dir):
     return quality_model.quality(documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", "weak", "score", "kept")
+
+
+@query("op6_boosted_pii")
+def op6(spark, sf_dir):
+    out = pii_boost.personal_data(documents(spark, sf_dir).select("doc_id", "text"))
+    counts = [pii_boost.number(F.col("base"), k).alias(f"n_{kind}") for k, kind in enumerate(pii_boost.KINDS)]
+    return out.select("doc_id", *counts, F.sha2(pii_boost.listed(F.col("base")), 256).alias("base_sha256"),
+                      pii_boost.listed(F.concat("base", "added")).alias("spans"))
