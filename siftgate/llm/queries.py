@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from siftgate.llm import automaton_dedup, byte_bpe, decontaminate, fuzzy_lines, line_rules, pii_boost, quality_model, set_join, suffix_groups
+from siftgate.llm import automaton_dedup, byte_bpe, decontaminate, fuzzy_lines, line_rules, ngram_lm, pii_boost, quality_model, set_join, suffix_groups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -125,3 +125,8 @@ def op6(spark, sf_dir):
     counts = [pii_boost.number(F.col("base"), k).alias(f"n_{kind}") for k, kind in enumerate(pii_boost.KINDS)]
     return out.select("doc_id", *counts, F.sha2(pii_boost.listed(F.col("base")), 256).alias("base_sha256"),
                       pii_boost.listed(F.concat("base", "added")).alias("spans"))
+
+
+@query("op3_elias_fano_lm")
+def op3(spark, sf_dir):
+    return ngram_lm.language_model(documents(spark, sf_dir))
