@@ -91,7 +91,7 @@ def shared_contexts(docs: DataFrame, unit: str, window: int, gram: int, within:
 
 
 def hot_spans(contexts: DataFrame, unit: str, window: int, within: bool) -> DataFrame:
-    """Spans of hot anchors: every window by its own hash, the earliest start of each with partial sums, no group gathered."""
+    """Spans of hot anchors: contexts equal to an earlier one go whole; of the others every window by its own hash, the earliest start of each with partial sums, no group gathered."""
     def windows(batches):
         for batch in batches:
             keys, docs, places = [], [], []
@@ -105,10 +105,16 @@ def hot_spans(contexts: DataFrame, unit: str, window: int, within: bool) -> Data
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(docs, pa.int64()), pa.array(places, pa.int32())],
                                              names=["key", "doc_id", "start"])
 
-    every = contexts.filter("hot").select("doc_id", "at", "body").mapInArrow(windows, "key binary, doc_id long, start int")
+    hot = contexts.filter("hot").withColumn("same", F.md5("body"))
+    heads = hot.groupBy("anchor", "same").agg(F.min(F.struct("doc_id", "at")).alias("head"))
+    both = hot.join(heads, ["anchor", "same"])
+    whole = F.struct("doc_id", "at") > F.col("head") if within else F.col("doc_id") > F.col("head.doc_id")
+    size = F.size(F.split(F.col("body").cast("string"), " ")) if unit == "words" else F.length("body")
+    copies = both.filter(whole).select("doc_id", F.col("at").alias("start"), (F.col("at") + size).alias("end"))
+    every = both.filter(~whole).select("doc_id", "at", "body").mapInArrow(windows, "key binary, doc_id long, start int")
     first = every.groupBy("key").agg(F.min(F.struct("doc_id", "start")).alias("first"))
     later = F.struct("doc_id", "start") > F.col("first") if within else F.col("doc_id") > F.col("first.doc_id")
-    return every.join(first, "key").filter(later).select("doc_id", "start", (F.col("start") + window).alias("end"))
+    return copies.unionByName(every.join(first, "key").filter(later).select("doc_id", "start", (F.col("start") + window).alias("end")))
 
 
 def by_anchor(contexts: DataFrame) -> DataFrame:
