@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 from siftgate.llm.spans import anchor_runs, column, prefix, ranges, slices
 from siftgate.sources.storage import materialise
 
-HOT = 2_000
+HOT = 5_000
 
 
 def sequence(piece, unit: str):

@@ -5,7 +5,7 @@ are one class. Each class posts the first shingles of its set (rarest first) tha
 sorted by set size and read in blocks: a block whose sizes or positions leave too small an overlap is skipped whole.
 
 Answers are derived from those of a similar set: in a first round each class of a list is only compared with the
-list's leading class. Classes that link to it share its component, so what remains are pairs of different
+list's leading class (the one that is in most lists). Classes that link to it share its component, so what remains are pairs of different
 components, which a second round compares one by one. No link between components is lost, and a group of n near copies
 costs about n comparisons, not n * n.
 
@@ -101,7 +101,7 @@ def enough(na: np.ndarray, nb: np.ndarray, pa_: np.ndarray, pb: np.ndarray, perc
 
 def list_pairs(postings: DataFrame, percent: int, leading: bool) -> DataFrame:
     """Candidate pairs (a, b) of the lists. leading: each class with the leading class of its list and size range only;
-    else all pairs of different components. Postings: shingle, rep, n, place[, comp]."""
+    else all pairs of different components. Postings: shingle, rep, n, place and weight or comp."""
     def run(batches):
         rest = None
         for batch in batches:
@@ -117,17 +117,19 @@ def list_pairs(postings: DataFrame, percent: int, leading: bool) -> DataFrame:
     def emit(table):
         key, rep, n, place = (table.column(c).to_numpy() for c in ("shingle", "rep", "n", "place"))
         comp = table.column("comp").to_numpy() if not leading else rep
+        weight = table.column("weight").to_numpy() if leading else rep
         first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         last = np.r_[first[1:], len(key)]
         many = last - first > 1
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for i, j in zip(first[many].tolist(), last[many].tolist()):
-            if leading:  # the list is sorted by size; a class too large for the leader leads the next ones
-                while i < j:
-                    k = i + int(np.searchsorted(n[i:j], 100 * n[i] // percent, "right"))
-                    a.append(np.full(k - i - 1, rep[i]))
-                    b.append(rep[i + 1:k])
-                    i = k
+            if leading:  # the heaviest class leads those of similar size, then the heaviest of the others
+                left = np.lexsort((rep[i:j], -weight[i:j])) + i
+                while len(left) > 1:
+                    near = percent * np.maximum(n[left], n[left[0]]) <= 100 * np.minimum(n[left], n[left[0]])
+                    a.append(np.full(near.sum() - 1, rep[left[0]]))
+                    b.append(rep[left[near][1:]])
+                    left = left[~near]
                 continue
             if (comp[i:j] == comp[i]).all():
                 continue
@@ -148,7 +150,7 @@ def list_pairs(postings: DataFrame, percent: int, leading: bool) -> DataFrame:
         pairs = np.unique(np.stack([lo, hi]), axis=1) if len(lo) else np.zeros((2, 0), np.int64)
         return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
-    cols = ["shingle", "rep", "n", "place"] + ([] if leading else ["comp"])
+    cols = ["shingle", "rep", "n", "place", "weight" if leading else "comp"]
     return (postings.select(cols).repartition("shingle").sortWithinPartitions("shingle", "n", "rep")
             .mapInArrow(run, "a long, b long").distinct())
 
@@ -187,7 +189,8 @@ def similar_sets(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame
     posted = reps.select(F.col("doc_id").alias("rep"), "n", F.posexplode("prefix").alias("place", "shingle"))
     shared = posted.groupBy("shingle").count().filter("count > 1").select("shingle")
     postings = materialise(posted.join(shared, "shingle").select("shingle", "rep", "n", F.col("place").cast("long").alias("place")))
-    tested = materialise(list_pairs(postings, percent, leading=True))
+    weights = postings.groupBy("rep").agg(F.count("*").alias("weight"))  # in how many lists a class is: an original is in most
+    tested = materialise(list_pairs(postings.join(weights, "rep"), percent, leading=True))
     links = materialise(linked(tested, docs, size, percent))
     comp = stars(links)
     named = postings.join(comp.select(F.col("node").alias("rep"), "root"), "rep", "left").select(
