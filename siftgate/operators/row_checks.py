@@ -7,6 +7,7 @@ true where the row passes. Missing values pass everything except not_null and co
 from __future__ import annotations
 
 import datetime as dt
+import re
 import json
 from dataclasses import dataclass
 from typing import Callable
@@ -58,8 +59,9 @@ def same_kind(value, fld: Field) -> bool:
 
 
 def python_pattern(pattern: str) -> str:
-    """The same search in Java: newline-only line ends, Unicode classes, named groups."""
-    return "(?dU)" + pattern.replace("(?P<", "(?<")
+    """The same search in Java: newline-only line ends, Unicode classes, named groups, absolute text end."""
+    pattern = re.sub(r"\(\?P=(\w+)\)", r"\\k<\1>", pattern.replace("(?P<", "(?<"))
+    return "(?dU)" + re.sub(r"\\(.)", lambda m: r"\z" if m[1] == "Z" else m[0], pattern, flags=re.S)
 
 
 @row_check("not_null")

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import io
+import lzma
 import zipfile
+import zlib
 from typing import Iterator
 
 import pandas as pd
@@ -11,14 +13,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def first_member_text(content: bytes | None) -> str | None:
-    """First file of a zip as UTF-8; broken bytes are replaced, a broken archive gives null."""
+    """First file of a zip as UTF-8; broken bytes are replaced, a broken, encrypted or unsupported archive gives null."""
     if content is None:
         return None
     try:
         with zipfile.ZipFile(io.BytesIO(content)) as archive:
             names = archive.namelist()
             return archive.read(names[0]).decode("utf-8", errors="replace") if names else None
-    except zipfile.BadZipFile:
+    except (zipfile.BadZipFile, zlib.error, lzma.LZMAError, RuntimeError, EOFError, OSError, ValueError):
         return None
 
 
