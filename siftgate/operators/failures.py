@@ -127,8 +127,8 @@ def crawl_label_sample(failures: DataFrame, keys: list[str], limit: int = CRAWL_
 def fingerprint_cases(failures: DataFrame, keys: list[str]) -> DataFrame:
     """One row per (dataset, platform, rule).
 
-    ``details`` and ``crawl_labels`` hold the first few distinct texts; ``n_details`` and
-    ``n_crawls`` are exact. Every crawl stays available in the failure records.
+    ``details`` and ``crawl_labels`` hold the first few distinct texts for display; ``n_details`` and
+    ``n_crawls`` are exact. ``case_details`` and ``case_crawls`` hold all of them.
     """
     # True for every record. Reading all three counts in every branch keeps their column sets equal,
     # so the branches below share one scan and one shuffle.
@@ -152,6 +152,21 @@ def fingerprint_cases(failures: DataFrame, keys: list[str]) -> DataFrame:
     return failed_share(cases)
 
 
+def case_details(failures: DataFrame) -> DataFrame:
+    """Every distinct detail text of every case, one row each."""
+    return _per_case(failures, F.col("detail"), "detail")
+
+
+def case_crawls(failures: DataFrame, keys: list[str]) -> DataFrame:
+    """Every crawl label of every case, one row each; run-wide failures name no crawl."""
+    return _per_case(failures.where(~F.col("run_scope")), crawl_label(keys), "label")
+
+
+def _per_case(failures: DataFrame, text: Column, name: str) -> DataFrame:
+    return (failures.groupBy(case_id(*[F.col(c) for c in CASE_KEY]).alias("case_id"), text.alias(name))
+            .agg(F.count(F.lit(1)).alias("n_failures"), F.sum("failed_count").alias("failed_count")))
+
+
 def failed_share(cases: DataFrame) -> DataFrame:
     """Failed rows over all rows of the entry, unrounded and rounded for display."""
     share = F.col("failed_count") / F.greatest(F.col("total_rows"), F.lit(1))

@@ -56,6 +56,20 @@ def failure_records(spark, d):
     return amazon_failures(spark, d).select("rule_id", *KEYS, "failed_count", "total_count", "detail")
 
 
+@query("d2_case_details", CRAWL_SQL + "," + FAILS + """
+SELECT concat('t_visibility_hourly|Amazon|', rule_id) AS case_id, detail, count(*) AS n_failures,
+  CAST(sum(failed_count) AS BIGINT) AS failed_count FROM failures GROUP BY rule_id, detail""")
+def all_details(spark, d):
+    return fl.case_details(amazon_failures(spark, d))
+
+
+@query("d2_case_crawls", CRAWL_SQL + "," + FAILS + """
+SELECT concat('t_visibility_hourly|Amazon|', rule_id) AS case_id, coalesce(CAST(keyword AS VARCHAR), 'null') AS label,
+  count(*) AS n_failures, CAST(sum(failed_count) AS BIGINT) AS failed_count FROM failures GROUP BY rule_id, 2""")
+def all_crawls(spark, d):
+    return fl.case_crawls(amazon_failures(spark, d), KEYS)
+
+
 @query("d1_group_failures", CRAWL_SQL + "," + GROUP_FAILS_SQL + """
 SELECT rule_id, keyword, time_stamp, group_rows AS failed_count, group_rows AS total_count,
   (SELECT count(*) FROM crawl) AS entry_rows FROM gf""", text=("time_stamp",))
