@@ -10,8 +10,8 @@ components, which a second round compares one by one. No link between components
 costs about n comparisons, not n * n.
 
 Scale: sets are never shuffled, only their prefixes (``100 - percent`` percent of the shingles); texts move only for
-candidate pairs. Frequent shingles come last in the order; they are estimated from every 16th document and at most
-``FREQUENT`` are kept, which affects speed alone (any order is exact). Hashes have 64 bits.
+candidate pairs. Frequent shingles come last in the order: hash classes of shingles are counted over all documents in
+a table of fixed size, which affects speed alone (any order is exact). Hashes have 64 bits.
 
 Defined cases: null or blank text has an empty set and links with nothing; fewer words than ``size`` are one
 shingle; rows that repeat a doc_id are one document; rows without doc_id link with nothing; extra columns are ignored.
@@ -27,7 +27,8 @@ from siftgate.llm.components import stars
 from siftgate.llm.spans import LOWER, Slice, column, mix, prefix, ranges, slices
 from siftgate.sources.storage import materialise
 
-FREQUENT = 200_000
+COUNTERS = 16
+SHIFT = np.uint64(64 - COUNTERS)
 BLOCK = 256
 
 
@@ -47,26 +48,29 @@ def shingles(piece: Slice, size: int) -> tuple[np.ndarray, np.ndarray]:
     return rows[new], hashes[new]
 
 
-def frequent(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent shingles of every 16th document, at most FREQUENT, in order, with their counts."""
+def frequent(docs: DataFrame, size: int) -> np.ndarray:
+    """How many documents have a shingle of each of ``2 ** COUNTERS`` hash classes, over all documents."""
     def run(batches):
+        total = np.zeros(1 << COUNTERS, np.int64)
         for batch in batches:
             for piece in slices(batch):
-                yield pa.RecordBatch.from_arrays([pa.array(shingles(piece, size)[1].view(np.int64))], names=["shingle"])
+                total += np.bincount((shingles(piece, size)[1] >> SHIFT).astype(np.int64), minlength=1 << COUNTERS)
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], names=["place", "n"])
 
-    some = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(16)) == 0).select("text").mapInArrow(run, "shingle long")
-    top = some.groupBy("shingle").count().filter("count >= 4").orderBy(F.desc("count"), "shingle").limit(FREQUENT).toPandas()
-    keys = top["shingle"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    return keys[order], top["count"].to_numpy(np.int64)[order]
+    sums = docs.select("text").mapInArrow(run, "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
+    out = np.zeros(1 << COUNTERS, np.int64)
+    rows = sums.toPandas()  # at most 2 ** COUNTERS rows
+    out[rows["place"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
+    return out
 
 
 def set_prefixes(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Per document: n (set size), two hashes of the set, and the shingles of its prefix in order."""
-    keys = docs.sparkSession.sparkContext.broadcast(frequent(docs, size))  # at most FREQUENT pairs
+    keys = docs.sparkSession.sparkContext.broadcast(frequent(docs, size))  # 2 ** COUNTERS counts
 
     def run(batches):
-        known, counts = keys.value
+        counts = keys.value
         for batch in batches:
             ids = column(batch, "doc_id")
             for piece in slices(batch):
@@ -76,10 +80,7 @@ def set_prefixes(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 with np.errstate(over="ignore"):
                     np.add.at(one, rows, mix(hashes))
                 np.bitwise_xor.at(two, rows, mix(hashes ^ np.uint64(0xABCDEF)))
-                often = np.zeros(len(hashes), np.int64)
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-                    often = np.where(known[at] == hashes, counts[at], 0)
+                often = counts[(hashes >> SHIFT).astype(np.int64)]
                 order = np.lexsort((hashes, often, rows))
                 rows, hashes = rows[order], hashes[order]
                 place = np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n)
