@@ -8,10 +8,11 @@ Word pairs meet in shards by context; frequent contexts, whose totals are known,
 a trie of its training pairs: contexts, pointers to their successors and the successors as Elias-Fano sequences (low
 parts of whole bytes, high parts as a bucket directory), probabilities quantised to 16 bits. Successors are stored
 relative to their context (rising within it, offset by its number), so a pair is one successor search. Levels are flat
-buffers, as they would be mapped from a file. Then the shard scores all its pairs and sums them per document.
+buffers, as they would be mapped from a file. Then the shard scores all its pairs and sums them per document; the sums go
+back in the blocks that the pairs came in.
 
 Scale: three passes over the texts; pairs are shuffled once as packed, sorted and compressed blocks (about 8 bytes a
-pair), partial sums per document and shard once. The table of common words has at most ``COMMON`` entries; the base score of rarer
+pair), and their sums per document once, as one row per block; a block holds what one slice of texts sends to one shard. The table of common words has at most ``COMMON`` entries; the base score of rarer
 words comes from a join. Defined cases: null and empty texts are one end token; rows without doc_id are left out of the
 result and of training; rows that repeat a doc_id with its text get the same scores; extra columns are ignored.
 """
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from siftgate.llm.spans import LOWER, Slice, column, mix, slices
@@ -179,7 +181,7 @@ def pair_scores(docs: DataFrame, common: Common, train_docs: int) -> DataFrame:
     shared, shards = spark.sparkContext.broadcast(common), max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def pack(batches):
-        known = shared.value
+        known, place = shared.value, TaskContext.get().partitionId() << 32
         for batch in batches:
             ids, train = column(batch, "doc_id").to_numpy(zero_copy_only=False), column(batch, "train").to_numpy(zero_copy_only=False).astype(bool)
             for piece in slices(batch, limit=4 << 20):
@@ -191,7 +193,7 @@ def pair_scores(docs: DataFrame, common: Common, train_docs: int) -> DataFrame:
                 order = np.lexsort((v & LOW32, u & LOW32, shard))
                 edges = np.searchsorted(shard[order], np.arange(shards + 1))
                 first = piece.first
-                out = [[], [], [], [], []]
+                out, place = [[], [], [], [], []], place + 1
                 for s in range(shards):
                     part = order[edges[s]:edges[s + 1]]
                     if not len(part):
@@ -202,20 +204,30 @@ def pair_scores(docs: DataFrame, common: Common, train_docs: int) -> DataFrame:
                     body = pa.compress(blob.tobytes(), codec="zstd", asbytes=True)
                     for to, x in zip(out, (s, len(part), body, ids[first + docs_].astype(np.int64).tobytes(), train[first + docs_].tobytes())):
                         to.append(x)
-                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.int64()), *(pa.array(x, pa.binary()) for x in out[2:5])],
-                                                 names=["shard", "n", "body", "docs", "train"])
+                yield pa.RecordBatch.from_arrays([pa.array([place] * len(out[0]), pa.int64()), pa.array(out[0], pa.int32()), pa.array(out[1], pa.int64()),
+                                                  *(pa.array(x, pa.binary()) for x in out[2:5])], names=["place", "shard", "n", "body", "docs", "train"])
 
-    def score(batches):
-        held, current = [], None
+    def grouped(batches, key):
+        """Rows of sorted batches, a list for each value of the key."""
+        held = []
         for batch in batches:
             for r in batch.to_pylist():
-                if r["shard"] != current and held:
-                    yield shard_scores(held)
+                if held and r[key] != held[0][key]:
+                    yield held
                     held = []
-                current = r["shard"]
                 held.append(r)
         if held:
-            yield shard_scores(held)
+            yield held
+
+    def score(batches):
+        for rows in grouped(batches, "shard"):
+            yield shard_scores(rows)
+
+    def add(batches):
+        for rows in grouped(batches, "place"):
+            ids, at = np.unique(np.frombuffer(b"".join(r["docs"] for r in rows), np.int64), return_inverse=True)
+            sums = np.bincount(at, np.frombuffer(b"".join(r["sums"] for r in rows), np.float64))
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(sums)], names=["doc_id", "score"])
 
     def shard_scores(rows):
         known, parts, ids, train, base = shared.value, [], [], [], 0
@@ -242,12 +254,15 @@ def pair_scores(docs: DataFrame, common: Common, train_docs: int) -> DataFrame:
         logs_ = np.log10((times + MU * mass[train[doc]][where]) / (total[train[doc]][where] + MU))
         held, value = Trie(lu, lv, logs_).find(u, v)
         scores = np.where(held, value, np.log10(MU * mass / (total + MU)))
-        sums = np.bincount(doc, scores, minlength=len(ids))
-        name, at = np.unique(ids, return_inverse=True)
-        return pa.RecordBatch.from_arrays([pa.array(name), pa.array(np.bincount(at, sums))], names=["doc_id", "score"])
-
-    blocks = docs.select("doc_id", "text", F.coalesce(training(), F.lit(True)).alias("train")).mapInArrow(pack, "shard int, n long, body binary, docs binary, train binary")
-    return blocks.repartition("shard").sortWithinPartitions("shard").mapInArrow(score, "doc_id long, score double").groupBy("doc_id").agg(F.sum("score").alias("score"))
+        sums, edges = np.bincount(doc, scores, minlength=len(ids)), np.cumsum([0, *(len(r["docs"]) // 8 for r in rows)])
+        return pa.RecordBatch.from_arrays([pa.array([r["place"] for r in rows], pa.int64()), pa.array([r["docs"] for r in rows], pa.binary()),
+                                           pa.array([sums[a:b].tobytes() for a, b in zip(edges, edges[1:])], pa.binary())], names=["place", "docs", "sums"])
+
+    blocks = docs.select("doc_id", "text", F.coalesce(training(), F.lit(True)).alias("train")).mapInArrow(pack, "place long, shard int, n long, body binary, docs binary, train binary")
+    sums = blocks.repartition("shard").sortWithinPartitions("shard").mapInArrow(score, "place long, docs binary, sums binary")
+    # a document's blocks share a place unless a lost task was done again over rows in another order; the last sum covers that
+    return (sums.repartition("place").sortWithinPartitions("place").mapInArrow(add, "doc_id long, score double")
+            .groupBy("doc_id").agg(F.sum("score").alias("score")))
 
 
 def language_model(docs: DataFrame) -> DataFrame:
