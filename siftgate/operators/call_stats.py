@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from siftgate.functions.values import count_where
 
@@ -77,20 +77,31 @@ def quantile_exclusive(df: DataFrame, by: list[str], value: str, part: int = 19,
     return picked.select(*by, F.col("n").alias("values"), F.when(F.col("n") > 1, result).alias(name))
 
 
-def run_stats(verdicts: DataFrame, by: list[str] | None = None, min_confidence: float = 0.5) -> DataFrame:
+def run_stats(verdicts: DataFrame, by: list[str] | None = None, min_confidence: float = 0.5,
+              cases: DataFrame | None = None) -> DataFrame:
     """Per model and run: cases, escalated cases and row outcomes, from row verdicts in one shuffle
-    by case and one of the small per-case table."""
+    by case and one of the small per-case table.
+
+    ``cases`` (``by`` and case_id) lists all cases of the runs; those never judged count as cases
+    without rows. Without it only cases with a verdict are known.
+    """
     by = by or ["model", "run"]
-    cases = case_verdict(verdicts, [*by, "case_id"])
-    cases = cases.withColumn("severity", F.lit("error")).withColumn("on_fail", F.lit("investigate"))
-    flagged = escalation_reasons(cases, min_confidence)
-    return flagged.groupBy(*by).agg(
+    key = [*by, "case_id"]
+    judged = case_verdict(verdicts, key)
+    if cases is not None:
+        judged = cases.select(*key).distinct().join(judged, key, "left")
+    judged = judged.withColumn("severity", F.lit("error")).withColumn("on_fail", F.lit("investigate"))
+
+    def total(rows) -> Column:
+        return F.coalesce(F.sum(rows), F.lit(0))
+
+    return escalation_reasons(judged, min_confidence).groupBy(*by).agg(
         F.count(F.lit(1)).alias("cases"),
         count_where(F.size("escalation_reasons") > 0).alias("escalated_cases"),
-        F.sum("true_positive_count").alias("true_positive_rows"),
-        F.sum("false_positive_count").alias("false_positive_rows"),
-        F.sum("failed_investigation_count").alias("failed_llm_rows"),
-        F.sum(F.col("row_verdicts") - F.col("failed_investigation_count")).alias("investigated_rows"))
+        total("true_positive_count").alias("true_positive_rows"),
+        total("false_positive_count").alias("false_positive_rows"),
+        total("failed_investigation_count").alias("failed_llm_rows"),
+        total(F.col("row_verdicts") - F.col("failed_investigation_count")).alias("investigated_rows"))
 
 
 def model_summary(runs: DataFrame, by: str = "model") -> DataFrame:

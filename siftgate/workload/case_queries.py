@@ -394,9 +394,7 @@ def frequent_values(spark, d):
     f"SELECT '{r}' AS rule_id, count(*) AS failing_rows FROM crawl WHERE {RANGE} AND ({g}) AND ({bad})"
     for r, (g, bad, _, _) in OSA_AMAZON_SQL.items()))
 def drilldown_count(spark, d):
-    crawl, rules = view(spark, d, CRAWL), shipped_rules("osa/amazon")
-    parts = [rep.drilldown_count(crawl, r, F.expr(RANGE)).withColumn("rule_id", F.lit(r.id)) for r in rules.rules]
-    return fl.union_entries(*parts).select("rule_id", "failing_rows")
+    return rep.drilldown_counts(view(spark, d, CRAWL), shipped_rules("osa/amazon").rules, F.expr(RANGE))
 
 
 @query("case_rollup", CRAWL_SQL + """,

@@ -62,6 +62,27 @@ def page_text_lines(spark, d):
     return ht.page_text_lines(product_pages(spark, d), keep=["page_id"])
 
 
+# Pages with nested elements and tag ends inside quotes. What they leave is put together here, not found by a pattern.
+MARKUP = """
+SELECT page_id, concat('a', CAST(page_id AS STRING), '<svg><svg>i</svg>TAIL</svg>b<meta content="a>b">c<nav><ul><nav>x</nav>y</ul></nav>',
+  '<p title="a > b">t', CAST(page_id % 7 AS STRING), '</p><header>h<header>i</header>j</header><aside id="1>0">k</aside>e') AS html
+FROM pages
+"""
+
+
+@query("e2_nested_markup", """
+SELECT page_id, concat('a', page_id, 'bc<p title="a > b">t', page_id % 7, '</p>e') AS cleaned FROM pages""")
+def nested_markup(spark, d):
+    return view(spark, d, MARKUP).select("page_id", ht.clean_html(F.col("html")).alias("cleaned"))
+
+
+@query("e3_nested_markup_lines", """
+SELECT page_id, CAST(generate_subscripts(lines, 1) - 1 AS INT) AS line_no, unnest(lines) AS line
+FROM (SELECT page_id, [concat('a', page_id), 'b', 'c', 'x', 'y', concat('t', page_id % 7), 'k', 'e'] AS lines FROM pages) x""")
+def nested_markup_lines(spark, d):
+    return ht.page_text_lines(view(spark, d, MARKUP), keep=["page_id"])
+
+
 @query("e4_code_vote", PAGES_SQL + r""",
 c AS (SELECT page_id, list_concat(
   regexp_extract_all(html, '(?i)(?:pid|asin|sku|id|itemid|data-asin)["'']?\s*[=:]\s*["'']?([a-zA-Z0-9]{10,20})', 1),

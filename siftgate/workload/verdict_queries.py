@@ -47,15 +47,6 @@ def reconcile_completeness(spark, d):
         .alias("fields"), F.count(F.lit(1)).alias("n"), F.count("html_value").alias("shown"))
 
 
-def focus(spark: SparkSession, d: str, rule: Rule) -> DataFrame:
-    """Failing stored rows with what their page shows for the rule's column."""
-    from siftgate.operators.reporting import failing_rows
-    stored = view(spark, d, STORED)
-    rec = rc.reconcile_columns(stored, extraction(spark, d), ["row_id"], [rule.column]).select(
-        "row_id", "html_value", "current_xpath", "working_xpath", "match")
-    return failing_rows(stored, rule).join(rec, "row_id")
-
-
 SP_RULE = Rule("sp_not_above_mrp", "compare", "sp", {"expr": "sp <= mrp"}, when="sp is not null and mrp is not null")
 POSITIVE_RULE = Rule("sp_positive", "range", "sp", {"min": 1})
 STOCK_RULE = Rule("stock_status_valid", "allowed_values", "stock_status", {"values": ["In Stock", "Out of Stock"]})
@@ -64,15 +55,15 @@ VERDICT_COLUMNS = ["rule_id", "row_id", "true_positive", "cause", "confidence"]
 
 
 def verdict_sql(rule: str, fails: str, page_bad: str | None, field: str) -> str:
-    """Decision table; ``page_bad`` marks a business rule."""
+    """Decision table; ``page_bad`` marks a business rule. Every 18th row has no page; other pages lack the value."""
     drift = "CASE WHEN current_xpath <> working_xpath THEN 'xpath_drift' ELSE 'genuine_data_issue' END"
     stock = ("html_value IN ('Available', 'In Stock') AND s.stock_status IN ('In Stock') OR "
              "html_value IN ('Notify me', 'Out of Stock') AND s.stock_status IN ('Out of Stock', 'Notify me')"
              if field == "stock_status" else "FALSE")
     legit = f"WHEN {page_bad} THEN 'legitimate'" if page_bad else ""
-    return f"""SELECT '{rule}' AS rule_id, row_id, CASE WHEN html_value IS NULL THEN 'unknown' WHEN {stock} THEN 'not_applicable'
-  {legit} WHEN match THEN 'not_applicable' ELSE {drift} END AS cause,
-  CASE WHEN html_value IS NULL THEN 0.5::DOUBLE ELSE 0.9::DOUBLE END AS confidence
+    return f"""SELECT '{rule}' AS rule_id, row_id, CASE WHEN row_id % 18 = 0 THEN 'unknown' WHEN {stock} THEN 'not_applicable'
+  WHEN html_value IS NULL THEN {drift} {legit} WHEN match THEN 'not_applicable' ELSE {drift} END AS cause,
+  CASE WHEN row_id % 18 = 0 OR html_value IS NULL THEN 0.5::DOUBLE ELSE 0.9::DOUBLE END AS confidence
 FROM s JOIN rec USING (row_id) WHERE field = '{field}' AND ({fails})"""
 
 
@@ -86,12 +77,9 @@ PAGE_SP = "TRY_CAST(trim(html_value) AS DOUBLE)"
     verdict_sql("name_present", "product_name IS NULL", None, "product_name")]) + """)
 SELECT rule_id, row_id, cause IN ('unknown', 'xpath_drift', 'genuine_data_issue') AS true_positive, cause, confidence FROM v""")
 def rule_based_verdict(spark, d):
-    parts = [rc.rule_based_verdict(focus(spark, d, r), r).withColumn("rule_id", F.lit(r.id)).select(*VERDICT_COLUMNS)
-             for r in (SP_RULE, POSITIVE_RULE, STOCK_RULE, NAME_RULE)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    stored = view(spark, d, STORED).withColumn("html_available", F.col("row_id") % 18 != 0)
+    rules = [SP_RULE, POSITIVE_RULE, STOCK_RULE, NAME_RULE]
+    return rc.rule_set_verdicts(stored, extraction(spark, d), ["row_id"], rules).select(*VERDICT_COLUMNS)
 
 
 @query("f4_majority_cause", f"WITH v AS ({duck(VERDICTS)})," + """
@@ -172,17 +160,26 @@ def drop_empty_fields(spark, d):
 
 # ------------------------------------------------------------------ call statistics
 
-RUN_STATS = "WITH" + roll_up(VERDICTS, "model, run, case_id") + """,
+# All cases of the runs; rules 20 to 24 are never judged.
+RUN_CASES = """
+SELECT concat('t_visibility|Amazon|rule_', CAST(user_id % 20 AS STRING)) AS case_id, concat('model-', CAST(user_id % 3 AS STRING)) AS model,
+  CAST(event_id % 4 AS INT) AS run FROM events
+UNION SELECT concat('t_visibility|Amazon|rule_', CAST(20 + user_id % 5 AS STRING)), concat('model-', CAST(user_id % 3 AS STRING)),
+  CAST(event_id % 4 AS INT) FROM events
+"""
+RUN_STATS = "WITH" + roll_up(VERDICTS, "model, run, case_id") + f""", k AS ({duck(RUN_CASES)}),
 stats AS (SELECT model, run, count(*) AS cases,
   count(*) FILTER (WHERE coalesce(true_positive AND confidence >= 0.5, FALSE) OR coalesce(confidence < 0.6, FALSE)) AS escalated_cases,
-  CAST(sum(true_positive_count) AS BIGINT) AS true_positive_rows, CAST(sum(false_positive_count) AS BIGINT) AS false_positive_rows,
-  CAST(sum(failed_investigation_count) AS BIGINT) AS failed_llm_rows,
-  CAST(sum(row_verdicts - failed_investigation_count) AS BIGINT) AS investigated_rows FROM verdict GROUP BY model, run)"""
+  CAST(coalesce(sum(true_positive_count), 0) AS BIGINT) AS true_positive_rows,
+  CAST(coalesce(sum(false_positive_count), 0) AS BIGINT) AS false_positive_rows,
+  CAST(coalesce(sum(failed_investigation_count), 0) AS BIGINT) AS failed_llm_rows,
+  CAST(coalesce(sum(row_verdicts - failed_investigation_count), 0) AS BIGINT) AS investigated_rows
+  FROM k LEFT JOIN verdict USING (model, run, case_id) GROUP BY model, run)"""
 
 
 @query("g1_run_stats", RUN_STATS + "SELECT * FROM stats")
 def run_stats(spark, d):
-    return cs.run_stats(view(spark, d, VERDICTS))
+    return cs.run_stats(view(spark, d, VERDICTS), cases=view(spark, d, RUN_CASES))
 
 
 CALLS_SQL = f"WITH c AS ({duck(CALLS)})"
@@ -216,7 +213,7 @@ SELECT model, count(*) AS runs, count(error) AS runs_with_error, CAST(sum(invest
   string_agg(error, ';' ORDER BY error) AS run_errors
 FROM l GROUP BY model""")
 def model_summary(spark, d):
-    runs = (cs.run_stats(view(spark, d, VERDICTS))
+    runs = (cs.run_stats(view(spark, d, VERDICTS), cases=view(spark, d, RUN_CASES))
             .withColumn("error", F.when(F.col("run") == 3, F.concat(F.lit("run "), F.col("run").cast("string"), F.lit(" stopped"))))
             .withColumn("avg_latency_s", F.round(F.col("failed_llm_rows") / 7.0, 2)))
     return cs.model_summary(runs).withColumn("run_errors", F.array_join("run_errors", ";"))

@@ -93,6 +93,37 @@ def test_escalation_defaults(spark):
     assert got == {"a": ["ai_verdict"], "b": ["ai_verdict", "low_confidence"], "c": ["low_confidence"], "d": [], "e": []}
 
 
+def test_verdict_tells_absent_values_from_absent_pages(spark):
+    stored = spark.createDataFrame([(1, "x", True), (2, "x", False), (3, None, True), (4, "", True), (5, "z", True)],
+                                   "row_id int, name string, html_available boolean")
+    shown = spark.createDataFrame([(5, "name", "z")], "row_id int, column string, html_value string")
+    rules = [Rule("gone", "must_null", "name"), Rule("there", "not_null", "name")]
+    got = {(r["rule_id"], r["row_id"]): (r["true_positive"], r["cause"], r["confidence"])
+           for r in rc.rule_set_verdicts(stored, shown, ["row_id"], rules).collect()}
+    assert got[("gone", 1)] == (True, "genuine_data_issue", 0.5)
+    assert got[("gone", 2)] == (True, "unknown", 0.5)
+    assert got[("gone", 5)] == (False, "not_applicable", 0.9)
+    assert got[("there", 3)] == (True, "genuine_data_issue", 0.5)
+
+
+def test_run_stats_count_cases_without_verdict(spark):
+    verdicts = spark.createDataFrame([("m", 1, "a", 1, True, 0.9, None)], "model string, run int, case_id string, "
+                                     "row_seq int, true_positive boolean, confidence double, error string")
+    cases = spark.createDataFrame([("m", 1, "a"), ("m", 1, "b"), ("m", 2, "a")], "model string, run int, case_id string")
+    got = {r["run"]: (r["cases"], r["escalated_cases"], r["true_positive_rows"], r["investigated_rows"])
+           for r in cs.run_stats(verdicts, cases=cases).collect()}
+    assert got == {1: (2, 1, 1, 1), 2: (1, 0, 0, 0)}
+
+
+def test_one_scan_for_all_drilldown_counts_and_verdicts(spark, small):
+    from siftgate.workload import catalog
+    from siftgate.workload.views import EXTRACTION, STORED
+    # d21: the crawl view joins two tables; f3: the stored rows and each part of the extraction view, whatever the number of rules
+    for name, scans in (("d21_drilldown_count", 2), ("f3_rule_based_verdict", (STORED + EXTRACTION).count("FROM orders"))):
+        plan = catalog.QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan parquet") == scans, (name, plan.count("FileScan parquet"))
+
+
 def test_majority_cause_ties_are_unknown(spark):
     rows = [("a", True, "x"), ("a", True, "y"), ("b", True, "x"), ("b", True, "x"), ("b", True, "y"), ("c", False, "z")]
     df = spark.createDataFrame(rows, "case_id string, true_positive boolean, cause string")
