@@ -213,6 +213,52 @@ def test_fuzzy_lines(spark, nothing):
     assert fuzzy_lines.remove_fuzzy_lines(nothing).count() == 0
 
 
+def test_fuzzy_lines_recall(spark):
+    """Near copies of any line length are found: one letter or word changed, and as many edits anywhere as similarity 0.8 allows."""
+    rng = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    say = lambda n: " ".join("".join(rng.choice(letters) for _ in range(rng.randint(3, 8))) for _ in range(n))
+
+    def letter(line):
+        i = rng.randrange(len(line))
+        return line[:i] + "#" + line[i + 1:]
+
+    def word(line):
+        w = line.split()
+        i = rng.randrange(len(w))
+        w[i] = "#" * len(w[i])
+        return " ".join(w) if 5 * len(w[i]) <= len(line) else letter(line)
+
+    def limit(line):
+        out = list(line)
+        for _ in range(len(line) // 5):
+            i, kind = rng.randrange(len(out)), rng.random()
+            out[i:i + (kind >= 0.3)] = [] if kind > 0.7 else rng.choice(letters)
+        return "".join(out)
+
+    def alike(a, b):
+        n = max(len(a), len(b))
+        return decontaminate.edit_distance(list(a), list(b), n // 5) <= n // 5
+
+    rows, kinds = [], {}
+    for n in (2, 5, 10, 20, 50):
+        for change in (letter, word, limit):
+            for _ in range(60):
+                a = say(n)
+                b = change(a)
+                if a != b and b == b.strip() and alike(a, b):
+                    rows += [(len(rows), a), (len(rows) + 1, b)]
+                    kinds[len(rows) - 1] = n, change.__name__
+    got = {r["doc_id"]: r["n_removed"] for r in fuzzy_lines.remove_fuzzy_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    recall = {k: [got[d] for d in kinds if kinds[d] == k] for k in set(kinds.values())}
+    print({k: (sum(x), len(x)) for k, x in sorted(recall.items())})
+    assert len(recall) == 15 and all(len(x) >= 20 and sum(x) >= (0.9 if k[1] == "limit" else 0.98) * len(x) for k, x in recall.items())
+    short = [(d, t) for d, t in rows if len(t) < 60]
+    for d, t in rows:  # removed lines have an earlier partner
+        if got[d] and d not in kinds:
+            assert any(alike(t, u) for e, u in (short if len(t) < 60 else rows) if e < d)
+
+
 def test_personal_data(docs, rows, nothing):
     patterns = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
 
