@@ -1,8 +1,8 @@
 """Bigram language model in Elias-Fano tries.
 
 Every text is lower-cased (A-Z) and cut into words, then one end token. Counts come from the training documents
-(``crc32(doc_id) mod 7 <> 2``). P(v | u) = (c(u, v) + MU * P(v)) / (c(u) + MU); P(v) is the add-one unigram for the ``COMMON``
-most frequent words and one class probability for each of the others, so that all of them sum to one.
+(``crc32(doc_id) mod 7 <> 2``). P(v | u) = (c(u, v) + MU * P(v)) / (c(u) + MU); P(v) is the add-one unigram of every word, however
+rare; words that training does not hold count 0, as one class.
 
 Word pairs meet in shards by context; frequent contexts, whose totals are known, are spread by the pair. Each shard builds
 a trie of its training pairs: contexts, pointers to their successors and the successors as Elias-Fano sequences (low
@@ -12,8 +12,9 @@ buffers, as they would be mapped from a file. Then the shard scores all its pair
 back in the blocks that the pairs came in.
 
 Scale: three passes over the texts; pairs are shuffled once as packed, sorted and compressed blocks (about 8 bytes a
-pair), and their sums per document once, as one row per block; a block holds what one slice of texts sends to one shard. The table of common words has at most ``COMMON`` entries; the base score of rarer
-words comes from a join. Defined cases: null and empty texts are one end token; rows without doc_id are left out of the
+pair), and their sums per document once, as one row per block; a block holds what one slice of texts sends to one shard. The table of common words, which every task has, holds at most ``COMMON`` entries; the counts of
+rarer words come from a join, for the base score by document, for the pairs by shard (only those that a shard's pairs
+hold). ``COMMON`` does not change the result. Defined cases: null and empty texts are one end token; rows without doc_id are left out of the
 result and of training; rows that repeat a doc_id with its text get the same scores; extra columns are ignored.
 """
 
@@ -30,6 +31,7 @@ from siftgate.sources.storage import materialise
 COMMON = 400_000
 MU = 4.0
 STEP = 1 / 4096            #: of the quantised log10 probabilities
+RARE = 65535               #: in place of a quantised probability: the pair's word is in the block's list of rare words
 BEGIN, END = np.uint64(1), np.uint64(2)
 LOW32 = np.uint64(0xFFFFFFFF)
 
@@ -128,8 +130,7 @@ class Common:
         keys = rows["word"].to_numpy(np.int64).view(np.uint64)
         order = np.argsort(keys)
         self.keys, self.counts = keys[order], rows["c"].to_numpy(np.int64)[order]
-        rest, room = self.total - int(self.counts.sum()), self.types - len(self.keys) + 1
-        self.rare_log = float(np.log10((rest + room) / room / (self.total + self.types + 1)))
+        self.whole = len(self.keys) == self.types
 
     def count(self, word: np.ndarray) -> np.ndarray:
         """Count of each word, -1 if it is not common."""
@@ -161,7 +162,7 @@ def base_scores(docs: DataFrame, words: DataFrame, common: Common) -> DataFrame:
                 c = shared.value.count(word)
                 often = c >= 0
                 known = np.bincount(row[often & (c > 0)], minlength=piece.rows)
-                sums = np.bincount(row[often], shared.value.base(c[often]), minlength=piece.rows)
+                sums = np.bincount(row[often], shared.value.base(c[often]), minlength=piece.rows).astype(float)  # integers where there is none
                 offsets = pa.array(np.searchsorted(row[~often], np.arange(piece.rows + 1)).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [column(batch, "doc_id").slice(piece.first, piece.rows), pa.array(np.bincount(row, minlength=piece.rows)), pa.array(known), pa.array(sums),
@@ -175,7 +176,7 @@ def base_scores(docs: DataFrame, words: DataFrame, common: Common) -> DataFrame:
                                                     (F.col("sums") + F.coalesce("s", F.lit(0.0))).alias("base_score"))
 
 
-def pair_scores(docs: DataFrame, common: Common, train_docs: int) -> DataFrame:
+def pair_scores(docs: DataFrame, words: DataFrame, common: Common, train_docs: int) -> DataFrame:
     """(doc_id, score): log10 probability of each text."""
     spark = docs.sparkSession
     shared, shards = spark.sparkContext.broadcast(common), max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -187,25 +188,41 @@ def pair_scores(docs: DataFrame, common: Common, train_docs: int) -> DataFrame:
             for piece in slices(batch, limit=4 << 20):
                 row, v, u = tokens(piece)
                 cv, often = known.count(v), (known.count(u) >= 0) | (u == BEGIN)
-                logs = np.where(cv >= 0, known.base(np.maximum(cv, 0)), known.rare_log)
+                logs = np.clip(np.round(-known.base(np.maximum(cv, 0)) / STEP), 0, RARE - 1).astype(np.uint16)  # a word that is in no count has 0
+                logs[(cv < 0) & (not known.whole)] = RARE
                 spread = mix(np.where(often, u ^ mix(v), u))
                 shard = ((spread >> np.uint64(20)) % np.uint64(shards)).astype(np.int64)
                 order = np.lexsort((v & LOW32, u & LOW32, shard))
                 edges = np.searchsorted(shard[order], np.arange(shards + 1))
                 first = piece.first
-                out, place = [[], [], [], [], []], place + 1
+                out, place = [[], [], [], [], [], []], place + 1
                 for s in range(shards):
                     part = order[edges[s]:edges[s + 1]]
                     if not len(part):
                         continue
                     docs_, at = np.unique(row[part], return_inverse=True)
                     blob = np.concatenate([np.diff((u[part] & LOW32).astype(np.int64), prepend=0).astype(np.uint32).view(np.uint8), (v[part] & LOW32).astype(np.uint32).view(np.uint8),
-                                           at.astype(np.uint32).view(np.uint8), np.clip(np.round(-logs[part] / STEP), 0, 65535).astype(np.uint16).view(np.uint8)])
+                                           at.astype(np.uint32).view(np.uint8), logs[part].view(np.uint8)])
                     body = pa.compress(blob.tobytes(), codec="zstd", asbytes=True)
-                    for to, x in zip(out, (s, len(part), body, ids[first + docs_].astype(np.int64).tobytes(), train[first + docs_].tobytes())):
+                    rare = v[part][logs[part] == RARE].view(np.int64)
+                    for to, x in zip(out, (s, len(part), body, ids[first + docs_].astype(np.int64).tobytes(), train[first + docs_].tobytes(), rare)):
                         to.append(x)
                 yield pa.RecordBatch.from_arrays([pa.array([place] * len(out[0]), pa.int64()), pa.array(out[0], pa.int32()), pa.array(out[1], pa.int64()),
-                                                  *(pa.array(x, pa.binary()) for x in out[2:5])], names=["place", "shard", "n", "body", "docs", "train"])
+                                                  *(pa.array(x, pa.binary()) for x in out[2:5]), pa.array(out[5], pa.list_(pa.int64()))],
+                                                 names=["place", "shard", "n", "body", "docs", "train", "rare"])
+
+    def counted(batches):
+        """Counts of rare words as rows of their shards, at place 0."""
+        for batch in batches:
+            shard, word, c = (column(batch, x).to_numpy() for x in ("shard", "word", "c"))
+            order = np.argsort(shard, kind="stable")
+            names, first = np.unique(shard[order], return_index=True)
+            parts = np.split(order, first[1:])
+            none = pa.array([b""] * len(names), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([0] * len(names), pa.int64()), pa.array(names, pa.int32()), pa.array([len(x) for x in parts], pa.int64()),
+                                              pa.array([c[x].astype(np.int64).tobytes() for x in parts] if len(c) else [], pa.binary()), none, none,
+                                              pa.array([word[x] for x in parts] if len(c) else [], pa.list_(pa.int64()))],
+                                             names=["place", "shard", "n", "body", "docs", "train", "rare"])
 
     def grouped(batches, key):
         """Rows of sorted batches, a list for each value of the key."""
@@ -231,6 +248,7 @@ def pair_scores(docs: DataFrame, common: Common, train_docs: int) -> DataFrame:
 
     def shard_scores(rows):
         known, parts, ids, train, base = shared.value, [], [], [], 0
+        counts, rows = [r for r in rows if not r["place"]], [r for r in rows if r["place"]]
         for r in rows:
             n, blob = r["n"], np.frombuffer(pa.decompress(r["body"], decompressed_size=14 * r["n"], codec="zstd", asbytes=True), np.uint8)
             u = (np.cumsum(blob[:4 * n].view(np.uint32).astype(np.int64)) & 0xFFFFFFFF).astype(np.uint64)
@@ -241,6 +259,16 @@ def pair_scores(docs: DataFrame, common: Common, train_docs: int) -> DataFrame:
         u, v, doc, logs = (np.concatenate([p[i] for p in parts]) for i in range(4))
         ids, train = np.concatenate(ids), np.concatenate(train)
         lower = logs * -STEP
+        if not known.whole:
+            rare = np.concatenate([np.array(r["rare"], np.int64) for r in rows])
+            words_, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            if counts:
+                words_ = np.concatenate([np.array(r["rare"], np.int64) for r in counts])
+                times = np.concatenate([np.frombuffer(r["body"], np.int64) for r in counts])
+            order = np.argsort(words_)
+            words_, times = np.r_[words_[order], 0], np.r_[times[order], 0]
+            at = np.searchsorted(words_[:-1], rare)
+            lower[logs == RARE] = known.base(np.where(words_[at] == rare, times[at], 0))
         key = u << np.uint64(32) | v
         learnt, where, times = np.unique(key[train[doc]], return_index=True, return_counts=True)
         lu, lv = learnt >> np.uint64(32), learnt & LOW32
@@ -258,7 +286,12 @@ def pair_scores(docs: DataFrame, common: Common, train_docs: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array([r["place"] for r in rows], pa.int64()), pa.array([r["docs"] for r in rows], pa.binary()),
                                            pa.array([sums[a:b].tobytes() for a, b in zip(edges, edges[1:])], pa.binary())], names=["place", "docs", "sums"])
 
-    blocks = docs.select("doc_id", "text", F.coalesce(training(), F.lit(True)).alias("train")).mapInArrow(pack, "place long, shard int, n long, body binary, docs binary, train binary")
+    layout = "place long, shard int, n long, body binary, docs binary, train binary, rare array<long>"
+    blocks = docs.select("doc_id", "text", F.coalesce(training(), F.lit(True)).alias("train")).mapInArrow(pack, layout)
+    if not common.whole:
+        blocks = materialise(blocks)
+        wanted = blocks.select("shard", F.explode(F.array_distinct("rare")).alias("word")).distinct()
+        blocks = blocks.unionByName(wanted.join(words, "word").select("shard", "word", "c").mapInArrow(counted, layout))
     sums = blocks.repartition("shard").sortWithinPartitions("shard").mapInArrow(score, "place long, docs binary, sums binary")
     # a document's blocks share a place unless a lost task was done again over rows in another order; the last sum covers that
     return (sums.repartition("place").sortWithinPartitions("place").mapInArrow(add, "doc_id long, score double")
@@ -272,7 +305,7 @@ def language_model(docs: DataFrame) -> DataFrame:
     common = Common(words)
     texts = rows.groupBy("doc_id").agg(F.count("*").alias("copies"))
     ends = words.filter(F.col("word") == int(END)).select("c").first()
-    scores = pair_scores(rows, common, ends["c"] if ends else 0)
+    scores = pair_scores(rows, words, common, ends["c"] if ends else 0)
     return (base_scores(rows, words, common).join(scores, "doc_id").join(texts, "doc_id")
             .withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
             .select("doc_id", (~training()).alias("held_out"), "n_tokens", "n_known", F.lit(int(common.total)).cast("long").alias("train_tokens"), "base_score",

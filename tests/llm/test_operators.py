@@ -167,6 +167,25 @@ def test_language_model(docs, rows, nothing, monkeypatch):
     assert ngram_lm.language_model(nothing).count() == 0
 
 
+def test_language_model_rare_words(docs, rows, monkeypatch):
+    """A small table of common words does not change the score."""
+    low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tokens = {d: [*words((t or "").translate(low)), None] for d, t in rows}
+    one, two, firsts = Counter(), Counter(), 0
+    for d, w in tokens.items():
+        if zlib.crc32(str(d).encode()) % 7 != 2:
+            one.update(w)
+            two.update(zip([0, *w[:-1]], w))
+            firsts += 1
+    below = sum(one.values()) + len(one) + 1
+    for common in (0, 20):
+        monkeypatch.setattr(ngram_lm, "COMMON", common)
+        for d, r in by_id(ngram_lm.language_model(docs)).items():
+            w = tokens[d]
+            want = sum(math.log10((two[u, v] + 4 * (one[v] + 1) / below) / ((firsts if u == 0 else one[u]) + 4)) for u, v in zip([0, *w[:-1]], w))
+            assert abs(r["score"] - want) <= len(w) * ngram_lm.STEP
+
+
 def test_decontamination(spark, nothing):
     rng = random.Random(3)
     vocab = [f"w{i}" for i in range(3000)]
