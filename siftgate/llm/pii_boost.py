@@ -1,10 +1,11 @@
 """Personal data: fixed patterns, and further candidates selected by gradient boosting; DataFrame functions only.
 
 Base spans (email, ip, card, phone) come from fixed patterns and checks and always stay. High-recall generators propose
-looser spans of the same kinds. A candidate is a positive example if it overlaps a base span of its kind, whatever made it
-a base span (plus sign, check digits, ranges) being left out of the features; boosted trees of two splits learn from
-format and context features. A threshold calibrated on held-out documents (precision of ``PRECISION`` or more) selects
-candidates that overlap no base span; of overlapping selections the likeliest stays.
+looser spans of the same kinds. Only candidates outside all base spans are labelled: positive if a check holds that is no
+feature (``proved``: check digits of cards, ranges of addresses, top-level domains, a contact word before a phone). Base spans
+rewritten into loose forms (plus removed, (at) and (dot), dots in cards) are further positives in training. Boosted
+trees of two splits learn from format and context; for each kind a threshold calibrated on held-out candidates outside base
+spans (precision of ``PRECISION`` or more by that check) selects; of overlapping selections the likeliest stays.
 
 Scale: two passes without shuffle of texts. All features are small classes, so training needs only one count per
 combination (at most ``CELLS`` rows, whatever the input) on the driver, and the trees are applied as a literal of ``CELLS``
@@ -36,9 +37,14 @@ LOOSE = {
 }
 NEED = {"email": r"@|[(\[]at", "ip": r"[0-9][.:][0-9]", "card": r"[0-9]", "phone": r"[0-9]"}
 BASE_NEED = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9]", "phone": r"\+[0-9]"}
-SIZES = (4, 6, 4, 4, 2, 2, 2)   #: classes of each feature: kind, length, separators, groups, letter beside, word before, first digit
+SIZES = (4, 6, 4, 4, 2, 3, 2)   #: classes of each feature: kind, length, separators, groups, letter beside, word before, first digit
 CELLS = int(np.prod(SIZES))
 PRECISION = 0.95
+LEAST = 20                      #: held-out candidates that a threshold needs
+CONTACT = "(?:mail|tel|phone|fon|call|card|ip|contact|mobile|fax)[^a-z0-9]*$"
+PHONE = "(?:tel|phone|fon|call|contact|mobile|fax)[^a-z0-9]*$"
+RECORD = r"(?:\b(?:id|no|nr|ref)|order|number|invoice|isbn|version|build|date|code)[^a-z0-9]*$"
+TOP = "(?i)[.)\\]]\\x20?(?:com|org|net|edu|gov|int|mil|info|biz|dev|app|example|test|io|co|eu|de|at|ch|fr|es|it|nl|be|uk|us|ca|au|pl|se|no|dk|fi|pt|ie|jp|cn|in|br|ru)$"
 SPAN = "array<struct<start:int,end:int,kind:int,body:string>>"
 
 
@@ -66,15 +72,17 @@ def luhn(d: Column) -> Column:
     return F.aggregate(F.filter(worth, lambda x: x.isNotNull()), F.lit(0), lambda s, x: s + x) % 10 == 0
 
 
+def valid(kind: str, body: Column) -> Column:
+    """Whether the parts of an address are in range, the digits of a card have their check digit, a phone has digits enough."""
+    if kind == "ip":
+        part = lambda p: F.regexp_replace(p, "^0+(?=[0-9])", "")
+        return F.forall(F.split(body, r"\."), lambda p: (F.length(part(p)) <= 3) & (F.substring(part(p), 1, 3).cast("int") <= 255))
+    n = F.length(digits(body))
+    return (n >= 14) & (n <= 19) & luhn(digits(body)) if kind == "card" else (n >= 10) & (n <= 15)
+
+
 def base_spans(text: Column) -> Column:
     """All base spans, by start and then kind."""
-    def valid(kind: str, body: Column) -> Column:
-        if kind == "ip":
-            part = lambda p: F.regexp_replace(p, "^0+(?=[0-9])", "")
-            return F.forall(F.split(body, r"\."), lambda p: (F.length(part(p)) <= 3) & (F.substring(part(p), 1, 3).cast("int") <= 255))
-        n = F.length(digits(body))
-        return (n >= 14) & (n <= 19) & luhn(digits(body)) if kind == "card" else (n >= 10) & (n <= 15)
-
     def checked(kind: str):
         return lambda s: valid(kind, s["body"])
 
@@ -85,24 +93,47 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*spans))
 
 
-def candidates(text: Column) -> Column:
-    """Looser spans of every kind with the cell of their features."""
-    def cell(s: Column) -> Column:
-        body, d = s["body"], digits(s["body"])
-        before = F.lower(F.substr(text, F.greatest(s["start"] - 11, F.lit(1)), F.least(s["start"], F.lit(12))))
-        beside = F.concat(F.substr(text, s["start"], F.when(s["start"] > 0, 1).otherwise(0)), F.substr(text, s["end"] + 1, F.lit(1)))
-        n = F.when(s["kind"] == 0, F.size(F.split(body, r"\."))).otherwise(F.length(d) - 8)
-        groups = F.size(F.split(body, "[^0-9A-Za-z]+"))
-        marks = F.length(F.regexp_replace(body, "[^() ]", ""))
-        parts = [s["kind"], F.greatest(F.lit(0), F.least(F.floor(n / 2), F.lit(5))), F.least(marks, F.lit(3)), F.greatest(F.lit(0), F.least(groups - 1, F.lit(3))),
-                 beside.rlike("[A-Za-z]").cast("int"), before.rlike("(?:mail|tel|phone|fon|call|card|ip|contact)[^a-z]*$").cast("int"), F.startswith(d, F.lit("0")).cast("int")]
-        code = F.lit(0)
-        for size, part in zip(SIZES, parts):
-            code = code * size + part
-        return code.cast("int")
+def before(text: Column, s: Column) -> Column:
+    return F.lower(F.substr(text, F.greatest(s["start"] - 11, F.lit(1)), F.least(s["start"], F.lit(12))))
+
+
+def cell(text: Column, s: Column) -> Column:
+    """The cell of the features of a span; a contact word, by which phones are labelled, is no feature of them."""
+    body, d, words = s["body"], digits(s["body"]), before(text, s)
+    beside = F.concat(F.substr(text, s["start"], F.when(s["start"] > 0, 1).otherwise(0)), F.substr(text, s["end"] + 1, F.lit(1)))
+    n = F.when(s["kind"] == 0, F.size(F.split(body, r"\."))).otherwise(F.length(d) - 8)
+    groups = F.size(F.split(body, "[^0-9A-Za-z]+"))
+    marks = F.length(F.regexp_replace(body, "[^() ]", ""))
+    word = F.when(words.rlike(RECORD), 2).when((s["kind"] != 3) & words.rlike(CONTACT), 1).otherwise(0)
+    parts = [s["kind"], F.greatest(F.lit(0), F.least(F.floor(n / 2), F.lit(5))), F.least(marks, F.lit(3)), F.greatest(F.lit(0), F.least(groups - 1, F.lit(3))),
+             beside.rlike("[A-Za-z]").cast("int"), word, ((s["kind"] != 0) & F.startswith(d, F.lit("0"))).cast("int")]
+    code = F.lit(0)
+    for size, part in zip(SIZES, parts):
+        code = code * size + part
+    return code.cast("int")
 
+
+def proved(text: Column, s: Column) -> Column:
+    """The check of a candidate that no feature holds."""
+    flat = F.regexp_replace(s["body"], ":", ".")
+    return (F.when(s["kind"] == 0, s["body"].rlike(TOP)).when(s["kind"] == 1, (F.size(F.split(flat, r"\.")) == 4) & valid("ip", flat))
+            .when(s["kind"] == 2, valid("card", s["body"])).otherwise(valid("phone", s["body"]) & before(text, s).rlike(PHONE)))
+
+
+def loosened(s: Column) -> Column:
+    """A base span in a form that the base patterns do not know."""
+    body = s["body"]
+    email = F.regexp_replace(F.regexp_replace(body, "@", " (at) "), r"\.(?=[^.]*$)", " (dot) ")
+    card = F.regexp_replace(F.regexp_replace(body, "[ -]", ""), "([0-9]{4})(?=[0-9])", "$1.")
+    loose = F.when(s["kind"] == 0, email).when(s["kind"] == 1, F.regexp_replace(body, r"\.", ":")).when(s["kind"] == 2, card).otherwise(F.regexp_replace(body, r"\+", ""))
+    return F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), loose.alias("body"))
+
+
+def candidates(text: Column) -> Column:
+    """Looser spans of every kind with the cell of their features and whether they are proved."""
     every = F.concat(*[found(text, LOOSE[kind], NEED[kind], k) for k, kind in enumerate(KINDS)])
-    return F.transform(every, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), cell(s).alias("cell")))
+    return F.transform(every, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), cell(text, s).alias("cell"),
+                                                 proved(text, s).cast("int").alias("y")))
 
 
 def overlap(a: Column, b: Column) -> Column:
@@ -139,28 +170,33 @@ def boost(counts: np.ndarray, rounds: int = 40, rate: float = 0.3) -> np.ndarray
 
 
 def calibrated(train: np.ndarray, held: np.ndarray) -> np.ndarray:
-    """Probability of each cell where it is selected, else 0: the lowest threshold whose selections in the held-out counts
-    have the precision asked for; cells that were never seen are not selected."""
-    odds = boost(train)
-    order = np.argsort(-odds, kind="stable")
-    order = order[(held + train).sum(1)[order] > 0]
-    total, hits = np.cumsum(held.sum(1)[order]), np.cumsum(held[order, 1])
-    good = np.flatnonzero((hits >= PRECISION * total) & (total >= 20))
+    """Probability of each cell where it is selected, else 0: for each kind the lowest threshold whose selections in the held-out
+    counts have the precision asked for; cells that were never held out, or are likelier wrong than right, are not selected."""
+    odds, kind = boost(train), cells()[:, 0]
     out = np.zeros(CELLS)
-    if len(good):
-        chosen = order[odds[order] >= odds[order[good[-1]]]]
-        out[chosen] = 1 / (1 + np.exp(-odds[chosen]))
+    for k in range(len(KINDS)):
+        order = np.argsort(-odds, kind="stable")
+        order = order[(held.sum(1)[order] > 0) & (kind[order] == k) & (odds[order] > 0)]
+        total, hits = np.cumsum(held.sum(1)[order]), np.cumsum(held[order, 1])
+        ends = np.r_[odds[order][1:] < odds[order][:-1], True][:len(order)]  # cells of equal odds together
+        good = np.flatnonzero((hits >= PRECISION * total) & (total >= LEAST) & ends)
+        if len(good):
+            chosen = order[:good[-1] + 1]
+            out[chosen] = 1 / (1 + np.exp(-odds[chosen]))
     return out
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, base (spans), added (spans that the boosted trees select)."""
     text = whole()
-    both = docs.select("doc_id", let(text, lambda t: F.struct(base_spans(t).alias("base"), candidates(t).alias("loose"))).alias("s"))
-    like = lambda c: F.exists(F.col("base"), lambda b: (b["kind"] == c["kind"]) & overlap(b, c)).cast("int")
-    seen = (both.select(F.pmod(F.xxhash64("doc_id"), F.lit(2)).alias("fold"), F.col("s.base").alias("base"), F.col("s.loose").alias("loose"))
-            .filter(F.size("loose") > 0).select("fold", F.explode(F.transform("loose", lambda c: F.struct(c["cell"].alias("cell"), like(c).alias("y")))).alias("c"))
-            .groupBy(F.coalesce("fold", F.lit(0)).alias("fold"), "c.cell", "c.y").count().collect())  # at most 4 * CELLS rows
+    both = docs.select("doc_id", let(text, lambda t: let(base_spans(t), lambda base: F.struct(
+        base.alias("base"), candidates(t).alias("loose"), F.transform(base, lambda s: cell(t, loosened(s))).alias("rewritten")))).alias("s"))
+    free = lambda c: ~F.exists(F.col("s.base"), lambda b: overlap(b, c))
+    fold = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(2)), F.lit(0))
+    outside = F.transform(F.filter(F.col("s.loose"), free), lambda c: F.struct(fold.alias("fold"), c["cell"].alias("cell"), F.coalesce(c["y"], F.lit(0)).alias("y")))
+    known = F.when(fold == 0, F.transform(F.col("s.rewritten"), lambda c: F.struct(fold.alias("fold"), c.alias("cell"), F.lit(1).alias("y"))))
+    seen = (both.select(F.explode(F.concat(outside, F.coalesce(known, F.array().cast("array<struct<fold:bigint,cell:int,y:int>>")))).alias("c"))
+            .groupBy("c.fold", "c.cell", "c.y").count().collect())  # at most 4 * CELLS rows
     counts = np.zeros((2, CELLS, 2))
     for r in seen:
         counts[r["fold"], r["cell"], r["y"]] += r["count"]

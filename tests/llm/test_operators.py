@@ -296,6 +296,29 @@ def test_personal_data(docs, rows, nothing):
     assert some >= 5 and pii_boost.personal_data(nothing).count() == 0
 
 
+def test_personal_data_added(spark):
+    """Loose forms beyond the base patterns are added, numbers that are no personal data are not."""
+    rng = random.Random(4)
+    number = lambda n: "".join(rng.choice("123456789") for _ in range(n))
+
+    def card(good):
+        while True:
+            d = number(16)
+            if good == (sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(d))) % 10 == 0):
+                return d
+
+    rows, want = [], {}
+    for d in range(400):
+        dotted = card(True)
+        spans = [(0, f"joe{d} (at) host{d} (dot) com"), (2, ".".join(dotted[i:i + 4] for i in (0, 4, 8, 12))), (3, f"0{number(3)} {number(4)} {number(4)}")]
+        text = "words of a text, write to {} or pay with card {} or call {} now".format(*(s for _, s in spans))
+        want[d] = {(text.index(s), text.index(s) + len(s), k) for k, s in spans}
+        rows.append((d, f"{text}; order {card(False)}, build {number(13)}, version 3.700.{number(3)}.1, meet (at) noon"))
+    got = {r["doc_id"]: r for r in pii_boost.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for d, _ in rows:
+        assert {(s["start"], s["end"], s["kind"]) for s in got[d]["added"]} == want[d]
+
+
 def test_line_rules(docs, rows, nothing):
     got = by_id(line_rules.line_frequency_rules(docs))
     for d, t in rows:
