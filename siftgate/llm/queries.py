@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from siftgate.llm import automaton_dedup, byte_bpe, decontaminate, fuzzy_lines, line_rules, ngram_lm, pii_boost, quality_model, set_join, suffix_groups
+from siftgate.llm import automaton_dedup, byte_bpe, decontaminate, fuzzy_lines, line_rules, ngram_lm, pii_boost, quality_model, set_join, source_mix, suffix_groups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -130,3 +130,71 @@ def op6(spark, sf_dir):
 @query("op3_elias_fano_lm")
 def op3(spark, sf_dir):
     return ngram_lm.language_model(documents(spark, sf_dir))
+
+
+SOURCE_MIX_SQL = r"""
+WITH s AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+         CAST('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 15) AS BIGINT) AS h
+  FROM documents),
+src AS (
+  SELECT *, [3, 1, 2][(source_no - 1) % 3 + 1]::BIGINT AS w, 2 * source_size AS cap
+  FROM (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS source_no
+        FROM s GROUP BY source)),
+fill AS (
+  SELECT *, sum(source_size) OVER () * 1.5::DOUBLE AS wanted, sum(w) OVER () AS all_w,
+         sum(cap) OVER o - cap AS before, sum(w) OVER o - w AS used
+  FROM src WINDOW o AS (ORDER BY cap / w, source_no ROWS UNBOUNDED PRECEDING)),
+whole AS (SELECT *, cap * (all_w - used)::DOUBLE <= (wanted - before) * w AS is_full FROM fill),
+plan AS (
+  SELECT *, greatest(1, least(64, floor(min(CASE WHEN NOT is_full THEN target END) OVER () / 1000)))::BIGINT AS block,
+         least(4096, greatest(1, ceil(source_size / 4000000)))::BIGINT AS n_shards
+  FROM (SELECT *, CASE WHEN is_full THEN cap::DOUBLE ELSE w * left_over / open_w END AS target
+        FROM (SELECT *, wanted - coalesce(sum(CASE WHEN is_full THEN cap END) OVER (), 0) AS left_over,
+                     sum(CASE WHEN NOT is_full THEN w END) OVER () AS open_w FROM whole))),
+v1 AS (
+  SELECT source_no, w::HUGEINT AS v, round(left_over / block)::HUGEINT AS k, sum(w) OVER ()::HUGEINT AS a, count(*) OVER ()::HUGEINT AS m
+  FROM plan WHERE NOT is_full),
+b1 AS (SELECT *, greatest(0, (v * (2 * k - m) + a) // (2 * a)) AS lo, greatest(0, (v * (2 * k + m) + a) // (2 * a)) AS hi FROM v1),
+q1 AS (
+  SELECT source_no, min(lo) + count(*) FILTER (seat IS NOT NULL AND r <= rest) AS quota
+  FROM (SELECT *, row_number() OVER (ORDER BY v::DOUBLE / (2 * seat - 1) DESC NULLS LAST, source_no, seat) AS r
+        FROM (SELECT source_no, v, lo, k - sum(lo) OVER () AS rest, unnest(CASE WHEN hi > lo THEN range((lo + 1)::BIGINT, (hi + 1)::BIGINT) ELSE [NULL] END) AS seat FROM b1))
+  GROUP BY source_no),
+d AS (
+  SELECT s.*, source_no, source_size, target, block, is_full, h % n_shards AS shard
+  FROM s JOIN plan ON s.source IS NOT DISTINCT FROM plan.source),
+sh AS (
+  SELECT source_no, shard, block, is_full, sum(size)::BIGINT AS n, ceil(sum(size) / block)::BIGINT AS blocks FROM d GROUP BY source_no, shard, block, is_full),
+v2 AS (
+  SELECT source_no, shard, n::HUGEINT AS v, quota::HUGEINT AS k, greatest(1, sum(n) OVER p)::HUGEINT AS a, count(*) OVER p::HUGEINT AS m
+  FROM sh JOIN q1 USING (source_no) WHERE NOT is_full WINDOW p AS (PARTITION BY source_no)),
+b2 AS (SELECT *, greatest(0, (v * (2 * k - m) + a) // (2 * a)) AS lo, greatest(0, (v * (2 * k + m) + a) // (2 * a)) AS hi FROM v2),
+q2 AS (
+  SELECT source_no, shard, min(lo) + count(*) FILTER (seat IS NOT NULL AND r <= rest) AS quota
+  FROM (SELECT *, row_number() OVER (PARTITION BY source_no ORDER BY v::DOUBLE / (2 * seat - 1) DESC NULLS LAST, shard, seat) AS r
+        FROM (SELECT source_no, shard, v, lo, k - sum(lo) OVER (PARTITION BY source_no) AS rest,
+                     unnest(CASE WHEN hi > lo THEN range((lo + 1)::BIGINT, (hi + 1)::BIGINT) ELSE [NULL] END) AS seat FROM b2))
+  GROUP BY source_no, shard),
+z AS (
+  SELECT source_no, shard, blocks, q // blocks AS passes, q % blocks AS rest,
+         CAST('0x' || substr(md5('mix:' || source_no || ':' || shard), 1, 15) AS BIGINT) % blocks AS start
+  FROM (SELECT sh.*, CASE WHEN is_full THEN 2 * blocks ELSE least(quota, 2 * blocks) END::HUGEINT AS q
+        FROM sh LEFT JOIN q2 USING (source_no, shard)) WHERE blocks > 0),
+placed AS (
+  SELECT doc_id, size, source_size, target, block, blocks, passes, rest, start, e, e - size AS b
+  FROM (SELECT d.*, blocks, passes, rest, start,
+               sum(size) OVER (PARTITION BY source_no, shard ORDER BY h, doc_id, size ROWS UNBOUNDED PRECEDING)::HUGEINT AS e
+        FROM d LEFT JOIN z USING (source_no, shard)))
+SELECT doc_id, size, source_size, target,
+       coalesce(passes * size + CASE WHEN size > 0 AND rest > 0 THEN
+         ((e // block) * rest + start) // blocks * block + (e % block) * (((e // block + 1) * rest + start) // blocks - ((e // block) * rest + start) // blocks)
+         - ((b // block) * rest + start) // blocks * block - (b % block) * (((b // block + 1) * rest + start) // blocks - ((b // block) * rest + start) // blocks)
+       ELSE 0 END, 0)::BIGINT AS taken
+FROM placed
+"""
+
+
+@query("op11_source_mix", SOURCE_MIX_SQL)
+def op11(spark, sf_dir):
+    return source_mix.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
