@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from siftgate.llm import automaton_dedup, byte_bpe, decontaminate, fuzzy_lines, line_rules, ngram_lm, pii_boost, quality_model, set_join, source_audit, source_mix, suffix_groups
+from siftgate.llm import automaton_dedup, byte_bpe, decontaminate, fuzzy_lines, line_rules, ngram_lm, pii_boost, quality_model, set_join, source_audit, source_mix, suffix_groups, token_alignment
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -233,3 +233,10 @@ FROM rows QUALIFY part = 'pair' OR rank <= 200
 @query("op12_source_audit", SOURCE_AUDIT_SQL)
 def op12(spark, sf_dir):
     return source_audit.divergence(documents(spark, sf_dir))
+
+
+@query("op13_token_alignment")
+def op13(spark, sf_dir):
+    import public_tokenizers
+    files = token_alignment.read_files(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return token_alignment.align(documents(spark, sf_dir), files)
