@@ -64,7 +64,7 @@ def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (lang, source), (n, docs) in groups.items():
             k = len(n)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * k), pa.array([source] * k), pa.array(n.keys(), pa.binary()).cast(pa.string()),
+                [pa.array([lang] * k, pa.string()), pa.array([source] * k, pa.string()), pa.array(n.keys(), pa.binary()).cast(pa.string()),
                  pa.array(n.values(), pa.int64()), pa.array([docs[t] for t in n], pa.int64())], ["lang", "source", "term", "n", "docs"])
         groups.clear()
 
