@@ -13,7 +13,8 @@ from siftgate.operators.failures import failure_records
 from siftgate.operators.group_checks import contiguous_gaps, group_rule_set, single
 from siftgate.operators.row_checks import failing_counts, outside_table, passes, row_check, row_rule_set
 from siftgate.plans.rules import Rule, RuleSet, guard, shipped_rules
-from siftgate.sources import objects, storage, tables
+from siftgate.sources import objects, page_objects, storage, tables
+from siftgate.streaming.live import write_stream
 from siftgate.workload.registry import query
 from siftgate.workload.views import CALLS, CRAWL, MARKET, duck, table, view
 
@@ -99,6 +100,41 @@ def raw_page_source(spark, d):
     return html.select("page_id", F.md5("html").alias("digest"), F.length("html").alias("chars"))
 
 
+# Pages as crawl objects of three platforms, four days and five hours.
+CRAWLED_PAGES = """
+SELECT concat('p', CAST(page_id % 3 AS STRING)) AS platform_id, CAST(DATE '2024-01-01' + CAST(page_id % 4 AS INT) AS DATE) AS date_stamp,
+  CAST(page_id % 5 AS INT) AS hour_stamp, concat('page_', CAST(page_id AS STRING), '.zip') AS object_name, html
+FROM pages
+"""
+PAGE_TEMPLATE = "layer=raw/platform_id={platform_id}/date_stamp={date_stamp}/hour_stamp={hour_stamp}/"
+
+
+@query("a6_page_objects", f"""
+SELECT object_name, hour_stamp, md5(html) AS digest FROM ({duck(CRAWLED_PAGES)}) p
+WHERE platform_id = 'p1' AND date_stamp >= DATE '2024-01-03' AND hour_stamp IN (0, 3)""")
+def pages_by_prefix(spark, d):
+    root = storage.shared_dir(spark)
+    page_objects.write_page_objects(view(spark, d, CRAWLED_PAGES), root, PAGE_TEMPLATE)
+    wanted = (F.col("platform_id") == "p1") & (F.col("date_stamp") >= F.lit("2024-01-03").cast("date")) & F.col("hour_stamp").isin(0, 3)
+    return (page_objects.page_objects(spark, root, PAGE_TEMPLATE, splits=2).where(wanted)
+            .select("object_name", "hour_stamp", F.md5("html").alias("digest")))
+
+
+@query("a6_page_object_stream", f"""
+SELECT platform_id, date_stamp, count(*) AS pages, CAST(sum(length(html)) AS BIGINT) AS chars
+FROM ({duck(CRAWLED_PAGES)}) p WHERE date_stamp >= DATE '2024-01-02' GROUP BY platform_id, date_stamp""", text=("date_stamp",))
+def page_stream(spark, d):
+    """Objects of the second crawl arrive after the stream has read the first."""
+    base, pages = storage.shared_dir(spark), view(spark, d, CRAWLED_PAGES)
+    stream = page_objects.page_object_stream(spark, f"{base}/objects", PAGE_TEMPLATE, settle_seconds=0, from_date="2024-01-02")
+    late = F.col("hour_stamp") >= 3
+    for part in (pages.where(~late), pages.where(late)):
+        page_objects.write_page_objects(part, f"{base}/objects", PAGE_TEMPLATE)
+        write_stream(stream, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    read = spark.read.schema(stream.schema).parquet(f"{base}/out")
+    return read.groupBy("platform_id", "date_stamp").agg(F.count(F.lit(1)).alias("pages"), F.sum(F.length("html")).alias("chars"))
+
+
 @query("a7_call_log_source", f"""
 SELECT model, count(*) AS calls, CAST(sum(completion_tokens) AS BIGINT) AS tokens, max(latency_s) AS slowest
 FROM ({duck(CALLS)}) c
