@@ -31,6 +31,30 @@ def log_window_join(calls: DataFrame, runs: DataFrame, bucket_seconds: int = 360
     return left.join(right, hit).drop("_cb", "_b", rkey)
 
 
+def stream_log_window_join(calls: DataFrame, runs: DataFrame, longest: str = "1 day", late: str = "10 minutes", ts: str = "ts",
+                           start: str = "start", end: str = "end", key: str = "model") -> DataFrame:
+    """``log_window_join`` of two streams: calls of the same key with start <= ts <= end, one row per (call, run).
+
+    A run arrives when it is over and lasts ``longest`` at most; both sides wait ``late`` for stragglers. So a call is
+    kept until the watermark of runs has passed ts + longest, a run until that of calls has passed its end, and then
+    Spark drops them from the state. Longer runs find no call and are left out (``stream_runs_too_long``).
+    """
+    left = calls.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late)
+    names = {c: f"_r_{c}" for c in runs.columns if c in calls.columns}
+    right = (runs.withColumns({c: F.col(c).cast("timestamp") for c in (start, end)}).where(F.col(end) <= F.col(start) + F.expr(f"interval {longest}"))
+             .withColumnsRenamed(names))
+    lo, hi, rkey = (names.get(c, c) for c in (start, end, key))
+    right = right.withWatermark(hi, late)
+    hit = ((F.col(key) == F.col(rkey)) & (F.col(ts) >= F.col(lo)) & (F.col(ts) <= F.col(hi))
+           & (F.col(ts) >= F.col(hi) - F.expr(f"interval {longest}")))
+    return left.join(right, hit).drop(rkey)
+
+
+def stream_runs_too_long(runs: DataFrame, longest: str = "1 day", start: str = "start", end: str = "end") -> DataFrame:
+    """Runs that ``stream_log_window_join`` leaves out."""
+    return runs.where(F.col(end).cast("timestamp") > F.col(start).cast("timestamp") + F.expr(f"interval {longest}"))
+
+
 def latency_stats(calls: DataFrame, by: list[str], latency: str = "latency_s",
                   tokens: str = "completion_tokens") -> DataFrame:
     """Calls, mean latency and mean completion tokens; absent or zero token counts do not count."""
@@ -104,8 +128,17 @@ def run_stats(verdicts: DataFrame, by: list[str] | None = None, min_confidence:
         total(F.col("row_verdicts") - F.col("failed_investigation_count")).alias("investigated_rows"))
 
 
+def mean_of_rounded(value: Column, places: int = 2) -> Column:
+    """Mean of numbers with so many decimals, rounded half up to as many. Whole numbers throughout: a tie of the
+    mean is a tie, however its parts were stored."""
+    unit = 10 ** places
+    whole, n = F.sum(F.round(value * unit).cast("long")), F.count(value)
+    return F.when(n > 0, F.floor((2 * whole + n) / (2 * n)) / unit)
+
+
 def model_summary(runs: DataFrame, by: str = "model") -> DataFrame:
-    """Totals over the runs of a model. Expects run_stats columns, plus avg_latency_s and error."""
+    """Totals over the runs of a model. Expects run_stats columns, plus avg_latency_s (two decimals, as latency_stats
+    gives it) and error. A run without a call has no latency and does not count in the mean."""
     rows = F.sum(F.col("investigated_rows") + F.col("failed_llm_rows"))
     failed = F.sum("failed_llm_rows")
     return runs.groupBy(by).agg(
@@ -116,5 +149,5 @@ def model_summary(runs: DataFrame, by: str = "model") -> DataFrame:
         F.sum("true_positive_rows").alias("total_true_positive_rows"),
         F.sum("false_positive_rows").alias("total_false_positive_rows"),
         F.sum("escalated_cases").alias("total_escalated_cases"),
-        F.round(F.avg("avg_latency_s"), 2).alias("avg_latency_s"),
+        mean_of_rounded(F.col("avg_latency_s")).alias("avg_latency_s"),
         F.array_sort(F.collect_list("error")).alias("run_errors"))  # one entry per run of a model

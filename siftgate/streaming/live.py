@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.types import StructType
 
 from siftgate.operators.failures import case_id
 from siftgate.operators.row_checks import row_rule_set
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def stream_row_checks(stream: DataFrame, rules, keep: list[str], as_of=None,
                       platform_column: str | None = None) -> DataFrame:
@@ -52,7 +58,93 @@ def stream_value_shares(stream: DataFrame, time: str, by: list[str], value: str,
                     "occurrences"))
 
 
-# ------------------------------------------------------------------ state of cases
+def stream_share_max(stream: DataFrame, time: str, by: list[str], value: str, max_share: float, size: str = "4 hours",
+                     watermark: str = "1 hour", once: list[str] | None = None) -> DataFrame:
+    """The verdict of share_max per (window, group), as the batch check gives it: null is a value, ties go to the smallest.
+
+    Values are counted per window first, then the counts are folded into the top value and the rows, so the
+    state of a group is one row per value on many tasks and then one row. Rows that were sent again, known by the columns
+    ``once``, count once if they come within the watermark. Append mode: a window comes out when it is closed.
+    """
+    timed = stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, watermark)
+    if once:
+        timed = timed.dropDuplicatesWithinWatermark(once)
+    counts = timed.groupBy(F.window(time, size).alias("w"), *by, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    top = F.min(F.struct((-F.col("_n")).alias("n"), F.col("_v").isNull().alias("z"), F.col("_v").alias("v")))
+    out = counts.groupBy("w", *by).agg(F.sum("_n").alias("rows"), top.alias("top"))
+    share = -F.col("top.n") / F.col("rows")
+    return out.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by, "rows", F.col("top.v").alias("top_value"),
+                      (-F.col("top.n")).alias("top_rows"), (share <= F.lit(float(max_share))).alias("ok"))
+
+
+# ------------------------------------------------------------------ streaks of cases
+
+CASE = ["dataset", "platform_entry", "rule_id"]
+STREAK = "run_end timestamp, failed_count long, total_failed long, recurrence int"
+STREAK_STATE = "last_end long, total_failed long, recurrence int"
+
+
+class CaseStreaks(StatefulProcessor):
+    """State of one case: when it last failed, for how many runs in a row, and how many rows in that streak."""
+
+    def __init__(self, run_ms: int):
+        self.run_ms = run_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("streak", STREAK_STATE)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        runs = pd.concat(list(rows)).sort_values("run_end")  # one row per closed run
+        last, total, streak = self.state.get() if self.state.exists() else (None, 0, 0)
+        if last is not None:
+            self.handle.deleteTimer(last + self.run_ms)
+        out = []
+        for end, failed in zip(runs["run_end"], runs["failed_count"]):
+            at = int(end.timestamp() * 1000)
+            if last is not None and at > last + self.run_ms:  # absent in between
+                out.append((pd.Timestamp(last + self.run_ms, unit="ms"), 0, 0, 0))
+                last, total, streak = None, 0, 0
+            last, total, streak = at, total + int(failed), streak + 1
+            out.append((end, int(failed), total, streak))
+        self.state.update((last, total, streak))
+        self.handle.registerTimer(last + self.run_ms)
+        yield self.frame(key, out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """The run after the last one is closed and the case was absent: its streak ends and its state goes."""
+        self.state.clear()
+        yield self.frame(key, [(pd.Timestamp(expiredTimerInfo.getExpiryTimeInMs(), unit="ms"), 0, 0, 0)])
+
+    @staticmethod
+    def frame(key: tuple, rows: list[tuple]) -> pd.DataFrame:
+        out = pd.DataFrame(rows, columns=["run_end", "failed_count", "total_failed", "recurrence"])
+        for i, name in enumerate(CASE):
+            out.insert(i, name, key[i])
+        return out
+
+    def close(self) -> None:
+        pass
+
+
+def stream_case_streaks(failing: DataFrame, time: str, run_hours: int = 4, watermark: str = "1 hour") -> DataFrame:
+    """Failing rows (dataset, platform_entry, rule_id, ``time``) as one row per case and closed run: rows that failed, rows of the
+    streak, and for how many runs in a row the case has failed. One more row with recurrence 0 ends a streak.
+
+    Runs are event-time windows. Rows are counted per case and run first, combined in each task, so the state of a case
+    sees one row per run however many rows fail; it is one small row, removed by a timer once a closed run passes
+    without the case. Rows later than the watermark are dropped. Needs the RocksDB state store, which is set here.
+    """
+    failing.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    runs = (failing.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, watermark)
+            .groupBy(F.window(time, f"{run_hours} hours").alias("w"), *CASE).agg(F.count(F.lit(1)).alias("failed_count"))
+            .select(*CASE, F.window_time("w").alias("run_time"), F.col("w.end").alias("run_end"), "failed_count"))
+    schema = StructType([*[runs.schema[c] for c in CASE], *StructType.fromDDL(STREAK).fields])
+    out = runs.groupBy(*CASE).transformWithStateInPandas(CaseStreaks(run_hours * 3_600_000), schema, "Append", "EventTime")
+    return out.select(case_id(*[F.col(c) for c in CASE]).alias("case_id"), "run_end", "failed_count", "total_failed", "recurrence")
+
+
+# ------------------------------------------------------------------ state table of cases, by micro-batch
 
 STATE = "case_id string, failed_count long, recurrence int, last_batch long"
 
