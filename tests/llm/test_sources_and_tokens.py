@@ -227,13 +227,25 @@ def test_alignment(docs, rows, files):
     assert any(w[1] and "," in w[-1] for w in want) and any(not w[1] for w in want)
 
 
-def test_pieces_are_encoded_as_in_the_text(files):
-    """Texts cut between pieces give the ids of the whole text, with white space and controls of all kinds."""
+def test_merging_by_ids_is_the_tokenizer(files):
+    """The faster way gives the ids of the tokenizer itself, with white space, controls and broken characters of all kinds."""
+    assert files.ranked
     tools, rng = token_alignment.Tokenizers(files), random.Random(4)
-    parts = [" ", " ", "  ", "\n", "\t", "\x1c", "\x1f", "\x85", " ", " ", "​", "　", "a", "Word", "don't", "'s", "12", "é", "日本", "🙂", "<|endoftext|>", ".,"]
-    lines = ["".join(rng.choice(parts) for _ in range(40)) for _ in range(1500)]
-    whole = [e.ids for e in tools.a.encode_batch_fast(lines, add_special_tokens=False)]
-    assert tools.encode_a(lines) == whole == tools.encode_a(lines)
+    parts = [" ", " ", "  ", "\n", "\t", "\x1c", "\x1f", "\x85", "\xa0", "\u2003", "\u200b", "\u3000", "a", "Word", "don't", "'s", "12", "é", "日本", "🙂",
+             "\ufffd", "<|endoftext|>", ".,", "aaaa", "ﬁ", "e\u0301", "\U0001e030"]
+    lines = ["".join(rng.choice(parts) for _ in range(40)) for _ in range(1500)] + ["".join(map(chr, rng.choices(range(1, 0xd800), k=60))) for _ in range(500)]
+    lines += ["".join(rng.choices("abcdeht", k=rng.randint(1, 40))) for _ in range(3000)] + ["a" * 500, "ab" * 300, " " * 300]
+    slow = tools.encode_a(lines)
+    tools.fast_a = None
+    assert tools.encode_a(lines) == slow
+
+
+def test_other_merges_are_left_to_the_tokenizer(files):
+    import json
+    a = json.loads(files.a)
+    assert not token_alignment.by_ranks({**a, "model": {**a["model"], "merges": a["model"]["merges"][::-1]}})
+    assert not token_alignment.by_ranks({**a, "normalizer": {"type": "NFC"}})
+    assert not token_alignment.by_ranks({**a, "pre_tokenizer": {**a["pre_tokenizer"], "add_prefix_space": True}})
 
 
 def test_nothing(nothing, files):
