@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from siftgate.operators import heavy_values
 from siftgate.operators import escalation as esc, failures as fl, reporting as rep
 from siftgate.plans.rules import shipped_rules
 from siftgate.workload.check_queries import (CRAWL_SQL, DAILY_SQL, GROUP_FAILS_SQL, GROUP_RULES, OSA_AMAZON_SQL,
@@ -390,6 +391,14 @@ def frequent_values(spark, d):
     return rep.dominant_value_drilldown(view(spark, d, CRAWL), "stock_status", KEYS, 0.3)
 
 
+@query("d20_heavy_values", CRAWL_SQL + """,
+n AS (SELECT keyword, seller, count(*) AS occurrences,
+  CAST(sum(count(*)) OVER (PARTITION BY keyword) AS BIGINT) AS group_rows FROM crawl GROUP BY keyword, seller)
+SELECT *, occurrences::DOUBLE / group_rows::DOUBLE AS share FROM n WHERE occurrences::DOUBLE / group_rows::DOUBLE > 0.02""")
+def frequent_by_sketch(spark, d):
+    return heavy_values.heavy_values(view(spark, d, CRAWL), "seller", ["keyword"], 0.02)
+
+
 @query("d21_drilldown_count", CRAWL_SQL + " UNION ALL ".join(
     f"SELECT '{r}' AS rule_id, count(*) AS failing_rows FROM crawl WHERE {RANGE} AND ({g}) AND ({bad})"
     for r, (g, bad, _, _) in OSA_AMAZON_SQL.items()))

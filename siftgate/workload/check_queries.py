@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from siftgate.functions.values import count_where, null_normalise
 from siftgate.operators.failures import failure_records
+from siftgate.operators import heavy_values
 from siftgate.operators.group_checks import contiguous_gaps, group_rule_set, single
 from siftgate.operators.row_checks import failing_counts, outside_table, passes, row_check, row_rule_set
 from siftgate.plans.rules import Rule, RuleSet, guard, shipped_rules
@@ -335,6 +336,16 @@ def share_max(spark, d):
         *CRAWL_KEY, "top_value", "top_rows", "group_rows", "ok")
 
 
+@query("c1_share_max_failures", CRAWL_SQL + """, n AS (
+  SELECT keyword, time_stamp, seller AS v, count(*) AS c FROM crawl GROUP BY ALL),
+r AS (SELECT *, sum(c) OVER w AS total, row_number() OVER (w ORDER BY c DESC, v NULLS LAST) AS no
+  FROM n WINDOW w AS (PARTITION BY keyword, time_stamp))
+SELECT keyword, time_stamp, v AS top_value, c AS top_rows, CAST(total AS BIGINT) AS group_rows
+FROM r WHERE no = 1 AND c::DOUBLE / total::DOUBLE > 0.1""", text=("time_stamp",))
+def share_max_failures(spark, d):
+    return heavy_values.share_max_failures(view(spark, d, CRAWL), "seller", 0.1, CRAWL_KEY)
+
+
 @query("c2_share_max_value", CRAWL_SQL + """
 SELECT date_stamp, hour_stamp, count(*) FILTER (WHERE stock_status = 'Out of Stock') AS hits, count(*) AS group_rows,
   count(*) FILTER (WHERE stock_status = 'Out of Stock')::DOUBLE / count(*)::DOUBLE <= 0.8 AS ok
