@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from siftgate.functions.values import ascending, count_where, sort_struct
-from siftgate.operators.group_checks import RUN, group_results
+from siftgate.operators.group_checks import ROWS, RUN, Tally, group_flags, group_results, numbered_rules
 from siftgate.operators.row_checks import ENTRY, RULE_NO, Entries, row_rule_set, rule_facts, rule_ids
 from siftgate.plans.rules import RuleError, crawl_columns
 from siftgate.sources.storage import materialise
@@ -27,7 +27,11 @@ def case_id(dataset: Column, platform: Column, rule_id: Column) -> Column:
     return F.concat_ws("|", dataset, platform, rule_id)
 
 
-def row_failures(df: DataFrame, rules, as_of=None, platform_column: str | None = None) -> DataFrame:
+def row_flags(bound) -> dict[tuple, Column]:
+    return {("row", kind, i): c for i, b in enumerate(bound) for kind, c in (("g", b.applies), ("f", b.fails))}
+
+
+def row_failures(df: DataFrame, rules, as_of=None, platform_column: str | None = None, tally: Tally | None = None) -> DataFrame:
     """Failures of row rules. The table is scanned once: counts for all rules are taken per crawl
     in one aggregate, then turned into rows. Totals per rule come from that same aggregate."""
     entries = Entries.of(rules, platform_column)
@@ -36,10 +40,11 @@ def row_failures(df: DataFrame, rules, as_of=None, platform_column: str | None =
     if not bound:
         raise RuleError("no row rules")
     keys = crawl_columns(df.columns, entries.crawl_key)
-    wide = ready.groupBy(ENTRY, *keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        *[c for i, b in enumerate(bound) for c in (count_where(b.applies).alias(f"g{i}"),
-                                                   count_where(b.fails).alias(f"f{i}"))])
+    if tally:
+        wide = tally.rows().groupBy(ENTRY, *keys).agg(F.sum(ROWS).alias("n"), *[tally.count(k).alias(f"{k[1]}{k[2]}") for k in row_flags(bound)])
+    else:
+        wide = ready.groupBy(ENTRY, *keys).agg(F.count(F.lit(1)).alias("n"),
+                                               *[count_where(c).alias(f"{k[1]}{k[2]}") for k, c in row_flags(bound).items()])
     tall = wide.select(ENTRY, *keys, "n", F.explode(F.array(*[
         F.struct(F.lit(i).alias("no"), F.col(f"g{i}").alias("g"), F.col(f"f{i}").alias("f"))
         for i in range(len(bound))])).alias("r"))
@@ -60,12 +65,13 @@ def row_failures(df: DataFrame, rules, as_of=None, platform_column: str | None =
                  F.lit(" rows failed")).alias("detail"))
 
 
-def group_failures(df: DataFrame, rules, as_of=None, platform_column: str | None = None) -> DataFrame:
+def group_failures(df: DataFrame, rules, as_of=None, platform_column: str | None = None, tally: Tally | None = None) -> DataFrame:
     """Failures of crawl and run rules: all rows of a failing group count as failed."""
-    res, bound, keys, entries = group_results(df, rules, as_of, platform_column)
+    if tally is None:  # sizes of entries and all kinds of rules from one scan
+        tally = scan_once(df, Entries.of(rules, platform_column), as_of)
+    res, bound, keys, entries = group_results(df, rules, as_of, platform_column, tally)
     # one row per entry, bounded by the configured platforms
-    sizes = (entries.prepare(df).groupBy(F.col(ENTRY).alias("_e"))
-             .agg(F.count(F.lit(1)).alias("entry_rows")))
+    sizes = tally.rows().groupBy(F.col(ENTRY).alias("_e")).agg(F.sum(ROWS).alias("entry_rows"))
     bad = (res.where(~F.col("ok")).join(F.broadcast(sizes), F.col(ENTRY) == F.col("_e"))
            .withColumn("_rule", rule_facts(bound, F.col(RULE_NO))))
     return bad.select(
@@ -75,16 +81,23 @@ def group_failures(df: DataFrame, rules, as_of=None, platform_column: str | None
         "detail")
 
 
+def scan_once(df: DataFrame, entries: Entries, as_of=None) -> Tally:
+    """The counts behind all rules of a table, row rules and group rules alike, from one scan."""
+    ready = entries.prepare(df)
+    counted, valued = numbered_rules(ready.schema, entries.bind(ready.schema, False, as_of))
+    flags = row_flags(entries.bind(ready.schema, True, as_of)) | group_flags(counted)
+    return Tally.of(ready, flags, valued, crawl_columns(df.columns, entries.crawl_key))
+
+
 def failure_records(df: DataFrame, rules, as_of=None, platform_column: str | None = None) -> DataFrame:
-    """One record per (rule, crawl) of all scopes."""
+    """One record per (rule, crawl) of all scopes. The table is scanned once, whatever kinds of rules there are; with
+    group rules the counts are written first and everything else reads those."""
     entries = Entries.of(rules, platform_column)
-    parts = []
-    if any(s.row_rules() for s in entries.rulesets):
-        parts.append(row_failures(df, entries, as_of))
-    if any(s.group_rules() for s in entries.rulesets):
-        parts.append(group_failures(df, entries, as_of))
-    if not parts:
+    by_row, by_group = (any(f(s) for s in entries.rulesets) for f in (lambda s: s.row_rules(), lambda s: s.group_rules()))
+    if not (by_row or by_group):
         raise RuleError("no rules")
+    tally = scan_once(df, entries, as_of) if by_group else None
+    parts = [make(df, entries, as_of, tally=tally) for make, any_ in ((row_failures, by_row), (group_failures, by_group)) if any_]
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
@@ -174,9 +187,12 @@ def failed_share(cases: DataFrame) -> DataFrame:
 
 
 def case_samples(df: DataFrame, rules, columns: list[str], as_of=None, limit: int = SAMPLE_ROWS,
-                 platform_column: str | None = None, per_crawl: bool = False) -> DataFrame:
+                 platform_column: str | None = None, per_crawl: bool = False, records: DataFrame | None = None) -> DataFrame:
     """First failing rows per case (or per case and crawl): crawl keys ascending, then the columns.
 
+    ``records`` are the failure records of the same table and rules, if they are already there: the failing groups are
+    then taken from them and not judged again.
+
     Each task keeps only its own first rows before the shuffle, so frequent rules do not pile up.
     """
     entries = Entries.of(rules, platform_column)
@@ -186,7 +202,7 @@ def case_samples(df: DataFrame, rules, columns: list[str], as_of=None, limit: in
     if any(s.row_rules() for s in entries.rulesets):
         parts.append(row_rule_set(df, entries, as_of, keep=carried))
     if any(s.group_rules() for s in entries.rulesets):
-        parts.append(rows_of_failing_groups(df, entries, carried, as_of, first=None if per_crawl else limit))
+        parts.append(rows_of_failing_groups(df, entries, carried, as_of, first=None if per_crawl else limit, records=records))
     tagged = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     group = ["dataset", "platform_entry", "rule_id", *(keys if per_crawl else [])]
     rank = Window.partitionBy(*group).orderBy(*ascending(carried))
@@ -194,14 +210,24 @@ def case_samples(df: DataFrame, rules, columns: list[str], as_of=None, limit: in
 
 
 def rows_of_failing_groups(df: DataFrame, rules, columns: list[str], as_of=None,
-                           platform_column: str | None = None, first: int | None = None) -> DataFrame:
-    """Guarded rows that belong to a failing crawl or run.
+                           platform_column: str | None = None, first: int | None = None, records: DataFrame | None = None) -> DataFrame:
+    """Guarded rows that belong to a failing crawl or run (of ``records``, or judged here).
 
     With ``first``, only the first failing crawls of each rule. That is enough for as many samples in
     crawl order, since each of them has a row, and leaves a handful of keys to look up.
     """
-    res, bound, keys, entries = group_results(df, rules, as_of, platform_column)
-    bad = res.where(~F.col("ok")).select(ENTRY, RULE_NO, *keys)
+    if records is None:
+        res, bound, keys, entries = group_results(df, rules, as_of, platform_column)
+        bad = res.where(~F.col("ok")).select(ENTRY, RULE_NO, *keys)
+    else:
+        entries = Entries.of(rules, platform_column)
+        keys = crawl_columns(df.columns, entries.crawl_key)
+        bound = entries.bind(entries.prepare(df).schema, False, as_of)
+        number = F.lit(None).cast("int")
+        for n, b in enumerate(bound):  # the same id may be another rule for another platform
+            here = (F.col("rule_id") == b.rule.id) & F.col("platform").isin(list(b.entries))
+            number = F.when(here, F.lit(n)).otherwise(number)
+        bad = records.where(F.col("scope") != "row").select(F.col("platform").alias(ENTRY), number.alias(RULE_NO), *keys)
     if first is not None:
         rank = Window.partitionBy(ENTRY, RULE_NO).orderBy(*(ascending(keys) or [F.lit(0)]))
         # a few rows per rule, written once: both parts below read them without checking again

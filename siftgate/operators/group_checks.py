@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from siftgate.functions.values import Field, count_where
 from siftgate.operators.row_checks import ENTRY, RULE_NO, Bound, Entries, rule_ids, same_kind
 from siftgate.plans.rules import Rule, RuleError, RuleSet, crawl_columns, field_of
+from siftgate.sources.storage import materialise
 
 GROUP_CHECKS: dict[str, "GroupCheck"] = {}
 
@@ -139,17 +140,70 @@ def _check_of(rule: Rule) -> GroupCheck:
 Numbered = list[tuple[int, Bound, Any]]
 
 
-def counted_groups(ready: DataFrame, rules: Numbered, keys: list[str]) -> DataFrame:
+# ------------------------------------------------------------------ one scan for all rules
+
+ROW_NO = -1           # number of the tuple that carries a row's flags
+WORD = 60             # flags in one long
+
+
+@dataclass(frozen=True)
+class Tally:
+    """Counts of one scan, from which row rules and group rules of all kinds are judged.
+
+    Every row gives one tuple with a bit for each condition that it meets and one tuple for each value rule that it is under.
+    Equal tuples of a crawl are counted, so a crawl arrives as a row per combination of conditions and per value.
+    """
+
+    df: DataFrame
+    bits: dict[tuple, int]
+
+    @classmethod
+    def of(cls, ready: DataFrame, flags: dict[tuple, Column], valued: Numbered, keys: list[str]) -> "Tally":
+        tests = list(flags.values())
+        words = [sum((F.when(t, F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long")) for i, t in enumerate(tests[at:at + WORD])), F.lit(0).cast("long"))
+                 for at in range(0, len(tests), WORD)]
+        names = [f"w{j}" for j in range(len(words))]
+        own = F.struct(F.lit(ROW_NO).alias("no"), F.lit(False).alias("run"), F.lit(None).cast("string").alias("value"), *[w.alias(n) for w, n in zip(words, names)])
+        each = [F.when(b.applies, F.struct(F.lit(n).alias("no"), F.lit(b.rule.scope != "crawl").alias("run"), value.alias("value"),
+                                           *[F.lit(0).cast("long").alias(w) for w in names])) for n, b, value in valued]
+        t = ready.select(ENTRY, *keys, F.explode(F.array(own, *each)).alias("t")).where(F.col("t").isNotNull())
+        df = (t.select(ENTRY, F.col("t.no").alias(RULE_NO), F.col("t.run").alias(RUN), *[F.when(~F.col("t.run"), F.col(k)).alias(k) for k in keys],
+                       F.col("t.value").alias(VALUE), *[F.col(f"t.{n}").alias(n) for n in names])
+              .groupBy(ENTRY, RULE_NO, RUN, *keys, VALUE, *names).agg(F.count(F.lit(1)).alias(ROWS)))
+        return cls(materialise(df), {key: i for i, key in enumerate(flags)})
+
+    def rows(self) -> DataFrame:
+        return self.df.where(F.col(RULE_NO) == ROW_NO)
+
+    def values(self, rules: Numbered, keys: list[str]) -> DataFrame:
+        return self.df.where(F.col(RULE_NO).isin([n for n, _, _ in rules])).select(ENTRY, RULE_NO, RUN, *keys, VALUE, ROWS)
+
+    def count(self, key: tuple) -> Column:
+        word, bit = divmod(self.bits[key], WORD)
+        met = F.col(f"w{word}").bitwiseAND(F.lit(1 << bit).cast("long")) != 0
+        return F.coalesce(F.sum(F.when(met, F.col(ROWS))), F.lit(0))
+
+
+def group_flags(rules: Numbered) -> dict[tuple, Column]:
+    """The conditions that conditional-count rules count."""
+    out = {}
+    for n, b, tests in rules:
+        out["g", n] = b.applies
+        out |= {("h", n, k): b.applies & test for k, (_, test) in enumerate(tests)}
+    return out
+
+
+def counted_groups(ready: DataFrame, rules: Numbered, keys: list[str], tally: Tally | None = None) -> DataFrame:
     """Groups of the conditional-count rules, all from one aggregate."""
     crawl = [n for n, b, _ in rules if b.rule.scope == "crawl"]
     run = [n for n, b, _ in rules if b.rule.scope != "crawl"]
     by = keys if crawl else []
     width = max(len(tests) for _, _, tests in rules)
-    aggs = []
-    for n, b, tests in rules:
-        aggs.append(count_where(b.applies).alias(f"g{n}"))
-        aggs += [count_where(b.applies & test).alias(f"h{n}_{k}") for k, (_, test) in enumerate(tests)]
-    wide = ready.groupBy(ENTRY, *by).agg(*aggs)
+    name = lambda key: "_".join(map(str, key)).replace("_", "", 1)
+    if tally:
+        wide = tally.rows().groupBy(ENTRY, *by).agg(*[tally.count(key).alias(name(key)) for key in group_flags(rules)])
+    else:
+        wide = ready.groupBy(ENTRY, *by).agg(*[count_where(test).alias(name(key)) for key, test in group_flags(rules).items()])
     tall = wide.select(ENTRY, *by, F.explode(F.array(*[F.struct(
         F.lit(n).alias("no"), F.col(f"g{n}").alias("g"),
         *[(F.col(f"h{n}_{k}") if k < len(tests) else F.lit(0).cast("long")).alias(f"h{k}") for k in range(width)])
@@ -178,10 +232,13 @@ def counted_groups(ready: DataFrame, rules: Numbered, keys: list[str]) -> DataFr
         F.lit(None).cast("long").alias("low"), F.lit(None).cast("long").alias("high"), missing.alias("missing"))
 
 
-def valued_groups(ready: DataFrame, rules: Numbered, keys: list[str]) -> DataFrame:
+def valued_groups(ready: DataFrame, rules: Numbered, keys: list[str], tally: Tally | None = None) -> DataFrame:
     """Groups of the value rules: rows per (rule, group, value), then folded per (rule, group)."""
     ranks = [n for n, b, _ in rules if b.rule.check == "contiguous"]
-    if len(rules) == 1:  # a guard of one rule can reach the scan
+    tuples = None
+    if tally:
+        pass
+    elif len(rules) == 1:  # a guard of one rule can reach the scan
         n, b, value = rules[0]
         crawl = b.rule.scope == "crawl"
         tuples = ready.where(b.applies).select(
@@ -198,7 +255,7 @@ def valued_groups(ready: DataFrame, rules: Numbered, keys: list[str]) -> DataFra
     value, n = F.col(VALUE), F.col(ROWS)
     # only rank keys are numbers; a failing cast of other keys would cost an exception each
     number = F.when(F.col(RULE_NO).isin(ranks), value.try_cast("long")) if ranks else F.lit(None).cast("long")
-    counts = tuples.groupBy(ENTRY, RULE_NO, RUN, *keys, VALUE).agg(F.count(F.lit(1)).alias(ROWS))
+    counts = tally.values(rules, keys) if tally else tuples.groupBy(ENTRY, RULE_NO, RUN, *keys, VALUE).agg(F.count(F.lit(1)).alias(ROWS))
     # most frequent value; ties go to the smallest value, null last. Left out where no rule asks for
     # it: without this struct the aggregate hashes instead of sorting.
     top = [F.min(F.struct((-n).alias("n"), value.isNull().alias("z"), value.alias("v"))).alias("top")]
@@ -214,19 +271,27 @@ def valued_groups(ready: DataFrame, rules: Numbered, keys: list[str]) -> DataFra
                          F.array().cast("array<string>").alias("missing"))
 
 
-def group_results(df: DataFrame, rules, as_of=None, platform_column: str | None = None):
-    """Every judged group with its measures. Returns (results, bound rules, crawl keys, entries)."""
+def numbered_rules(schema, bound: list[Bound]) -> tuple[Numbered, Numbered]:
+    """Conditional-count rules and value rules, with their numbers and what they count."""
+    numbered = [(n, b, _check_of(b.rule).tally(field_of(schema, b.rule), b.rule.params)) for n, b in enumerate(bound)]
+    return [x for x in numbered if isinstance(x[2], list)], [x for x in numbered if not isinstance(x[2], list)]
+
+
+def group_results(df: DataFrame, rules, as_of=None, platform_column: str | None = None, tally: Tally | None = None):
+    """Every judged group with its measures. Returns (results, bound rules, crawl keys, entries).
+
+    Rules of both kinds share one scan by way of a tally, written once; rules of one kind are one lazy aggregate.
+    """
     entries = Entries.of(rules, platform_column)
     ready = entries.prepare(df)
     bound = entries.bind(ready.schema, False, as_of)
     if not bound:
         raise RuleError("no group rules")
     keys = crawl_columns(df.columns, entries.crawl_key)
-    numbered = [(n, b, _check_of(b.rule).tally(field_of(ready.schema, b.rule), b.rule.params))
-                for n, b in enumerate(bound)]
-    counted = [x for x in numbered if isinstance(x[2], list)]
-    valued = [x for x in numbered if not isinstance(x[2], list)]
-    parts = [make(ready, some, keys) for make, some in ((counted_groups, counted), (valued_groups, valued)) if some]
+    counted, valued = numbered_rules(ready.schema, bound)
+    if counted and valued and tally is None:
+        tally = Tally.of(ready, group_flags(counted), valued, keys)
+    parts = [make(ready, some, keys, tally) for make, some in ((counted_groups, counted), (valued_groups, valued)) if some]
     groups = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     m = Measures()
     ok, detail = F.lit(None).cast("boolean"), F.lit(None).cast("string")

@@ -88,3 +88,37 @@ def test_one_hot_group_with_many_values(spark):
                                      F.col("id").cast("string").alias("v"))
     r = gc.single(df, "distinct_min", "v", {"min": 60_000}, ["k"]).where("ok").select("k", "distinct_values").collect()
     assert [tuple(x) for x in r] == [("hot", 66667)]
+
+
+def test_mixed_rules_read_the_table_once(spark, small):
+    """Row rules, conditional-count rules and value rules of both scopes: every row is read once, and failures and samples
+    are those of the rules judged apart."""
+    from siftgate.operators.failures import case_samples, failure_records, fingerprint_cases, group_failures, row_failures
+    from siftgate.plans.rules import Rule, RuleSet
+    from siftgate.workload.views import CRAWL, view
+
+    crawl = view(spark, small, CRAWL).select("keyword", "time_stamp", "platform", "sp", "seller", "stock_status", "relative_rank")
+    rules = RuleSet("t", "Amazon", ("keyword", "time_stamp"), (
+        Rule("sp", "range", "sp", {"min": 1}), Rule("platform", "constant", "platform", {"value": "Amazon"}, when="sp is not null"),
+        *[Rule(f"seller{i}", "not_null", "seller", when=f"relative_rank <> {i}") for i in range(40)],  # more flags than one word holds
+        Rule("rows", "row_count_min", None, {"min": 9}, "crawl"), Rule("all", "contains_all", "stock_status", {"value": ["In Stock", "Notify me"]}, "crawl"),
+        Rule("share", "share_max", "stock_status", {"max_share": 0.4}, "crawl"), Rule("ranks", "contiguous", "relative_rank", {}, "run"),
+        Rule("some", "distinct_min", "seller", {"min": 4}, "crawl", when="platform = 'amazon'"), Rule("run", "row_count_min", None, {"min": 10**6}, "run")))
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    counted = crawl.mapInArrow(count, crawl.schema)
+    records = failure_records(counted, rules)
+    got = sorted(map(str, records.collect()))
+    assert seen.value == crawl.count()
+    only = lambda keep: rules.with_rules(*[r for r in rules.rules if keep(r)])
+    apart = [row_failures(crawl, only(lambda r: r.scope == "row"))]
+    apart += [group_failures(crawl, only(lambda r, i=i: r.id == i)) for i in ("rows", "all", "share", "ranks", "some", "run")]
+    assert got == sorted(str(r) for df in apart for r in df.collect()) and {r["rule_id"] for r in records.collect()} >= {"sp", "rows", "share", "run"}
+    assert fingerprint_cases(records, ["keyword", "time_stamp"]).where("rule_id = 'share'").first()["n_crawls"] > 1
+    known, judged = (case_samples(crawl, rules, ["sp", "seller"], records=r) for r in (records, None))
+    assert sorted(map(str, known.collect())) == sorted(map(str, judged.collect()))
