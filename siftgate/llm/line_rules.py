@@ -79,11 +79,12 @@ def normal_line(line: Column) -> Column:
 
 
 def document_lines(docs: DataFrame) -> DataFrame:
-    """Lines with a word: host, hash of the normalised line, place in the document."""
+    """Lines with a word: host, hash of the normalised line, place in the document, number of words."""
     text = whole()
     rows = docs.select("doc_id", F.coalesce(F.col("source").cast("string"), F.lit("")).alias("host"), F.xxhash64(text).alias("text_key"),
                        F.posexplode(F.filter(F.split(text, "\n"), filled)).alias("place", "line"))
-    return rows.select("doc_id", "host", "text_key", "place", F.xxhash64(normal_line(F.col("line"))).alias("line_key"), "line")
+    return rows.select("doc_id", "host", "text_key", "place", F.xxhash64(normal_line(F.col("line"))).alias("line_key"),
+                       F.size(words(F.col("line"))).alias("n"))
 
 
 def frequent_lines(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
@@ -99,7 +100,7 @@ def frequent_lines(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 def line_frequency_rules(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """One row per document: base counts, words in removed lines, and whether it is kept."""
     found = (document_lines(docs).join(frequent_lines(docs, limits), ["host", "line_key"])
-             .select("doc_id", "text_key", "place", F.size(words(F.col("line"))).alias("n")).distinct()
+             .select("doc_id", "text_key", "place", "n").distinct()
              .groupBy("doc_id", "text_key").agg(F.sum("n").alias("removed_words")))
     base = base_rules(docs, limits)
     all_rows = base.join(found.withColumnRenamed("doc_id", "id").withColumnRenamed("text_key", "key"),
