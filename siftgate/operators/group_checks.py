@@ -19,7 +19,7 @@ from siftgate.operators.row_checks import ENTRY, RULE_NO, Bound, Entries, rule_i
 from siftgate.plans.rules import Rule, RuleError, RuleSet, crawl_columns, field_of
 from siftgate.sources.storage import materialise
 
-GROUP_CHECKS: dict[str, "GroupCheck"] = {}
+GROUP_CHECKS: dict[str, "GroupCheck | OpaqueGroup"] = {}
 
 RUN = "_run"          # true for a run-scope group
 VALUE = "_value"
@@ -40,6 +40,27 @@ class GroupCheck:
     detail: Callable[["Measures", dict], Column]
 
 
+@dataclass(frozen=True)
+class OpaqueGroup:
+    """A check on mergeable states (``operators.opaque_checks``), which gives its verdict itself. ``fold`` judges the groups
+    of all rules of this kind."""
+
+    check: Any
+    fold: Callable[[DataFrame, list, list[str]], DataFrame]
+
+    def tally(self, fld: Field | None, params: dict) -> "OpaqueGroup":
+        _column(fld)
+        return self
+
+    @staticmethod
+    def ok(m: "Measures", params: dict) -> Column:
+        return F.col("_ok")
+
+    @staticmethod
+    def detail(m: "Measures", params: dict) -> Column:
+        return F.col("_detail")
+
+
 class Measures:
     """Columns available to judge a group. ``value_rows`` counts the rows with a value, or those that
     meet the first condition; ``missing`` lists the labels of conditions that no row meets."""
@@ -131,7 +152,7 @@ group_check(
     .otherwise(F.concat(F.lit("Missing required values: ["), F.array_join(m.missing, ", "), F.lit("]"))))
 
 
-def _check_of(rule: Rule) -> GroupCheck:
+def _check_of(rule: Rule) -> "GroupCheck | OpaqueGroup":
     if rule.check not in GROUP_CHECKS:
         raise RuleError(f"rule {rule.id!r} names unknown group check {rule.check!r}")
     return GROUP_CHECKS[rule.check]
@@ -274,7 +295,15 @@ def valued_groups(ready: DataFrame, rules: Numbered, keys: list[str], tally: Tal
 def numbered_rules(schema, bound: list[Bound]) -> tuple[Numbered, Numbered]:
     """Conditional-count rules and value rules, with their numbers and what they count."""
     numbered = [(n, b, _check_of(b.rule).tally(field_of(schema, b.rule), b.rule.params)) for n, b in enumerate(bound)]
-    return [x for x in numbered if isinstance(x[2], list)], [x for x in numbered if not isinstance(x[2], list)]
+    return [x for x in numbered if isinstance(x[2], list)], [x for x in numbered if isinstance(x[2], Column)]
+
+
+def opaque_groups(ready: DataFrame, rules: Numbered, keys: list[str]) -> DataFrame:
+    """Groups of opaque rules in the form of the others, with their own verdicts."""
+    judged = rules[0][2].fold(ready, [(n, b, held.check) for n, b, held in rules], keys)
+    nothing = {"top_value": "string", "top_rows": "long", "distinct_values": "long", "value_rows": "long", "low": "long", "high": "long"}
+    return judged.select(ENTRY, RULE_NO, RUN, *keys, "group_rows", *[F.lit(None).cast(t).alias(c) for c, t in nothing.items()],
+                         F.array().cast("array<string>").alias("missing"), "_ok", "_detail")
 
 
 def group_results(df: DataFrame, rules, as_of=None, platform_column: str | None = None, tally: Tally | None = None):
@@ -292,14 +321,20 @@ def group_results(df: DataFrame, rules, as_of=None, platform_column: str | None
     if counted and valued and tally is None:
         tally = Tally.of(ready, group_flags(counted), valued, keys)
     parts = [make(ready, some, keys, tally) for make, some in ((counted_groups, counted), (valued_groups, valued)) if some]
-    groups = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    opaque = [(n, b, _check_of(b.rule)) for n, b in enumerate(bound) if isinstance(_check_of(b.rule), OpaqueGroup)]
+    parts = [p.withColumns({"_ok": F.lit(None).cast("boolean"), "_detail": F.lit(None).cast("string")}) for p in parts]
+    if opaque:
+        parts.append(opaque_groups(ready, opaque, keys))
+    groups = parts[0]
+    for p in parts[1:]:
+        groups = groups.unionByName(p)
     m = Measures()
     ok, detail = F.lit(None).cast("boolean"), F.lit(None).cast("string")
     for n, b in enumerate(bound):
         check = _check_of(b.rule)
         ok = F.when(F.col(RULE_NO) == n, check.ok(m, b.rule.params)).otherwise(ok)
         detail = F.when(F.col(RULE_NO) == n, check.detail(m, b.rule.params)).otherwise(detail)
-    return groups.select("*", ok.alias("ok"), detail.alias("detail")), bound, keys, entries
+    return groups.select("*", ok.alias("ok"), detail.alias("detail")).drop("_ok", "_detail"), bound, keys, entries
 
 
 def group_rule_set(df: DataFrame, rules, as_of=None, platform_column: str | None = None) -> DataFrame:

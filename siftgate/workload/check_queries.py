@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import io
+import re
 import zipfile
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from siftgate.functions.values import count_where, null_normalise
 from siftgate.operators.failures import failure_records
-from siftgate.operators import heavy_values
+from siftgate.operators import heavy_values, opaque_checks
 from siftgate.operators.group_checks import contiguous_gaps, group_rule_set, single
 from siftgate.operators.row_checks import failing_counts, outside_table, passes, row_check, row_rule_set
 from siftgate.plans.rules import Rule, RuleSet, guard, shipped_rules
-from siftgate.sources import objects, page_objects, storage, tables
+from siftgate.sources import objects, page_objects, runs, storage, tables
 from siftgate.streaming.live import write_stream
 from siftgate.workload.registry import query
 from siftgate.workload.views import CALLS, CRAWL, MARKET, duck, table, view
@@ -179,6 +181,21 @@ def sinks(spark, d):
     return storage.read_runs(spark, path, "failures", bad.schema, "json").select("run_id", "keyword", "failed")
 
 
+@query("a9_committed_runs", CRAWL_SQL + """
+SELECT r.run_id, keyword, failed FROM (SELECT keyword, count(*) AS failed FROM crawl WHERE sp < 1 GROUP BY keyword) x,
+  (VALUES ('r1'), ('r2')) r(run_id)""")
+def committed_runs(spark, d):
+    """Two published runs, one of them twice, and one that stops before its end."""
+    path = storage.shared_dir(spark)
+    bad = view(spark, d, CRAWL).where("sp < 1").groupBy("keyword").agg(F.count(F.lit(1)).alias("failed"))
+    for run_id, whole in (("r1", True), ("r2", True), ("r2", True), ("r3", False)):
+        run = runs.RunWriter(spark, path, run_id)
+        run.write(bad, "failures")
+        if whole:
+            run.publish()
+    return runs.read_table(spark, path, "failures").select("run_id", "keyword", "failed")
+
+
 # ------------------------------------------------------------------ row checks
 
 PRICE_TEXT = """CASE WHEN l.l_partkey % 37 = 0 THEN '1,234' WHEN l.l_partkey % 31 = 0 THEN '1.5f'
@@ -320,6 +337,60 @@ def registered_check(spark, d):
     return per_keyword(view(spark, d, CRAWL), Rule("r", "multiple_of", "num_of_rating", {"step": 3}))
 
 
+@opaque_checks.opaque_row_check("digit_sum")
+def digit_sum(values: pa.Array, params: dict) -> pa.Array:
+    """The digits of a code add up to a multiple of ``step``."""
+    return pa.array([None if v is None else sum(int(c) for c in v if c in "0123456789") % params["step"] == 0 for v in values.to_pylist()])
+
+
+@query("b12_opaque_row", keyword_sql(
+    "length(trim(platform_code)) > 0 AND list_sum([CAST(x AS INT) FOR x IN regexp_extract_all(platform_code, '[0-9]')]) % 3 <> 0"))
+def opaque_row(spark, d):
+    return per_keyword(view(spark, d, CRAWL), Rule("r", "digit_sum", "platform_code", {"step": 3}))
+
+
+@opaque_checks.opaque_group_check("spread_max")
+class SpreadMax:
+    """Variance of a whole-number column, by its count, sum and sum of squares."""
+
+    def start(self):
+        return [0, 0, 0]
+
+    def add(self, state, values, params):
+        v = [x for x in values.to_pylist() if x is not None]
+        return [state[0] + len(v), state[1] + sum(v), state[2] + sum(x * x for x in v)]
+
+    def merge(self, a, b):
+        return [x + y for x, y in zip(a, b)]
+
+    def verdict(self, state, params):
+        n, total, squares = state
+        return n * squares - total * total <= params["max"] * n * n, f"{total} of {n} values"
+
+
+@query("b12_opaque_group", CRAWL_SQL + """
+SELECT keyword, time_stamp, count(*) AS group_rows, concat(coalesce(sum(num_of_rating), 0), ' of ', count(num_of_rating), ' values') AS detail,
+  count(num_of_rating) * coalesce(sum(num_of_rating * num_of_rating), 0) - coalesce(sum(num_of_rating), 0) * coalesce(sum(num_of_rating), 0)
+    <= 200 * count(num_of_rating) * count(num_of_rating) AS ok
+FROM crawl WHERE product_type <> 'SD' GROUP BY keyword, time_stamp""", text=("time_stamp",))
+def opaque_group(spark, d):
+    out = single(view(spark, d, CRAWL), "spread_max", "num_of_rating", {"max": 200}, ["keyword", "time_stamp"], "product_type <> 'SD'")
+    return out.select("keyword", "time_stamp", "group_rows", "detail", "ok")
+
+
+@opaque_checks.page_function("page_links", "place int, target string")
+def page_links(html: str, params: dict):
+    for i, hit in enumerate(re.finditer(r'<a href="([^"]*)"', html)):
+        yield i, hit[1]
+
+
+@query("b12_page_function", """
+SELECT page_id, CAST(generate_subscripts(x, 1) - 1 AS INT) AS place, unnest(x) AS target
+FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS x FROM pages)""")
+def page_function(spark, d):
+    return opaque_checks.page_rows(table(spark, d, "pages"), "page_links", ["page_id"])
+
+
 # ------------------------------------------------------------------ group checks
 
 CRAWL_KEY = ["keyword", "time_stamp"]

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from siftgate.functions import html_text as ht
-from siftgate.operators import page_evidence as ev
+from siftgate.operators import code_index, page_evidence as ev
+from siftgate.sources.storage import shared_dir
 from siftgate.workload.registry import query
 from siftgate.workload.views import CRAWL, OBJECTS, PRODUCT_PAGES, duck, table, view
 
@@ -135,18 +138,32 @@ FROM pages
 """
 
 
-@query("e7_evidence_scan_fallback", PAGES_SQL + f""", r AS ({duck(SCAN_ROWS)}),
+SCAN_SQL = PAGES_SQL + f""", r AS ({duck(SCAN_ROWS)}),
 e AS (SELECT r.*, p.object_name FROM r LEFT JOIN p ON p.object_name = r.expected),
 s AS (SELECT r.row_id, min(p.object_name) AS object_name FROM r JOIN p ON p.crawl = r.crawl
   AND contains(p.html, r.platform_code) AND contains(p.html, '<div id="ppd"') GROUP BY r.row_id)
 SELECT row_id, platform_code, coalesce(e.object_name, s.object_name) AS object_name,
   CASE WHEN e.object_name IS NOT NULL THEN 'name' WHEN s.object_name IS NOT NULL THEN 'content' END AS resolved_by
-FROM e LEFT JOIN s USING (row_id)""")
+FROM e LEFT JOIN s USING (row_id)"""
+
+
+@query("e7_evidence_scan_fallback", SCAN_SQL)
 def scan_fallback(spark, d):
     found = ev.resolve_rows(view(spark, d, SCAN_ROWS), product_pages(spark, d), F.col("expected"), prefix="crawl")
     return found.select("row_id", "platform_code", "object_name", "resolved_by")
 
 
+@query("e7_code_index", SCAN_SQL)
+def indexed_codes(spark, d):
+    """The pages are indexed crawl by crawl, in two appends; only codes that no index holds are looked for in page text."""
+    pages, base, name = product_pages(spark, d).withColumnRenamed("crawl", "prefix"), shared_dir(spark), f"code_index_{uuid.uuid4().hex}"
+    for part in (pages.where("prefix < 4"), pages.where("prefix >= 4")):
+        code_index.add_to_index(part, name, base, buckets=8)
+    rows = view(spark, d, SCAN_ROWS).withColumnRenamed("crawl", "prefix")
+    found = code_index.resolve_rows(rows, spark.table(name), F.col("expected"), pages=pages)
+    return found.select("row_id", "platform_code", "object_name", "resolved_by")
+
+
 @query("e7_product_block", PAGES_SQL + """
 SELECT page_id, regexp_extract(html, '<div id="ppd">.*?</div>') AS fragment FROM p WHERE contains(html, '<div id="ppd">')""")
 def product_block(spark, d):
