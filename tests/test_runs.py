@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siftgate.operators import call_stats as cs, escalation as esc, failures as fl, reconcile as rc
+from siftgate.sources.runs import read_table
 from siftgate.plans.quality_run import Policy, Source, due_sources, run_quality
 from siftgate.plans.rules import Rule, RuleSet, shipped_rules
 from siftgate.sources import tables
@@ -224,7 +225,7 @@ def test_run_quality(spark, small, tmp_path):
     summary = spark.read.parquet(paths["summary"]).first()
     assert summary["escalations"] == 1 and summary["total_cases"] == cases.count()
     assert spark.read.parquet(first["queue"]).where("admitted").count() == 2
-    samples = spark.read.parquet(f"{out}/samples/t_visibility_hourly/run_id=r2")
+    samples = read_table(spark, out, "samples/t_visibility_hourly", "r2")
     assert samples.groupBy("platform_entry", "rule_id").count().agg(F.max("count")).first()[0] <= 5
 
 
