@@ -5,16 +5,18 @@ Every text is lower-cased (A-Z) and cut into words, then one end token. Counts c
 rare; words that training does not hold count 0, as one class.
 
 Word pairs meet in shards by context; frequent contexts, whose totals are known, are spread by the pair. Each shard builds
-a trie of its training pairs: contexts, pointers to their successors and the successors as Elias-Fano sequences (low
+a trie of its training pairs: contexts and their successors as Elias-Fano sequences (low
 parts of whole bytes, high parts as a bucket directory), probabilities quantised to 16 bits. Successors are stored
-relative to their context (rising within it, offset by its number), so a pair is one successor search. Levels are flat
+relative to their context (rising within it, offset by its number), in place of pointers, so a pair is one successor search. Levels are flat
 buffers, as they would be mapped from a file. Then the shard scores all its pairs and sums them per document; the sums go
 back in the blocks that the pairs came in.
 
 Scale: three passes over the texts; pairs are shuffled once as packed, sorted and compressed blocks (about 8 bytes a
 pair), and their sums per document once, as one row per block; a block holds what one slice of texts sends to one shard. The table of common words, which every task has, holds at most ``COMMON`` entries; the counts of
 rarer words come from a join, for the base score by document, for the pairs by shard (only those that a shard's pairs
-hold). ``COMMON`` does not change the result. Defined cases: null and empty texts are one end token; rows without doc_id are left out of the
+hold). The shares of common words are quantised and those of rarer words exact, so ``COMMON`` changes scores in the second
+decimal where there are more words than it holds. Contexts and words meet by 32 bits of their hashes: some thousand pairs of
+words share their counts at ten million distinct words. Defined cases: null and empty texts are one end token; rows without doc_id are left out of the
 result and of training; rows that repeat a doc_id with its text get the same scores; extra columns are ignored.
 """
 

@@ -2,9 +2,10 @@
 
 Two texts link when their sets of ``size``-word shingles have a Jaccard similarity of ``percent`` or more. Equal sets
 are one class. Each class posts the first shingles of its set (rarest first) that any partner must share; the lists are
-sorted by set size and read in blocks: a block whose sizes or positions leave too small an overlap is skipped whole.
+sorted by set size and read in blocks: a block whose sizes leave too small an overlap is skipped whole, positions are
+tested pair by pair.
 
-Answers are derived from those of a similar set: in a first round each class of a list is only compared with the
+Components are derived from those of a similar set (partners and their number are not returned): in a first round each class of a list is only compared with the
 list's leading class (the one that is in most lists). Classes that link to it share its component, so what remains are pairs of different
 components, which a second round compares one by one. No link between components is lost, and a group of n near copies
 costs about n comparisons, not n * n.
