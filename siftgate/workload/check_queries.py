@@ -75,6 +75,20 @@ def hour_window_filter(spark, d):
             .groupBy("date_stamp", "hour_stamp").agg(F.count(F.lit(1)).alias("n")))
 
 
+@query("a4_dataset_windows", CRAWL_SQL + """,
+w AS (SELECT DISTINCT 'Brand#' || (o_custkey % 25 + 1) AS keyword, CAST(m AS DATE) AS date_stamp, CAST(hour(m) AS INT) AS hour_stamp
+  FROM (SELECT o_custkey, o_orderdate + (CAST(o_orderkey % 24 AS BIGINT) - 11 + n) * INTERVAL 1 HOUR AS m FROM orders, range(12) t(n) WHERE o_orderkey % 20 = 3))
+SELECT keyword, date_stamp, count(*) AS n FROM crawl SEMI JOIN w USING (keyword, date_stamp, hour_stamp) GROUP BY keyword, date_stamp""", text=("date_stamp",))
+def dataset_windows(spark, d):
+    """Twelve hours before the moments of some keywords, each keyword with its own."""
+    moments = table(spark, d, "orders").where("o_orderkey % 20 = 3").select(
+        F.concat(F.lit("Brand#"), (F.col("o_custkey") % 25 + 1).cast("string")).alias("keyword"),
+        (F.col("o_orderdate").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), (F.col("o_orderkey") % 24).cast("int"))).alias("as_of"))
+    windows = tables.hour_window_table(moments, "as_of", 12)
+    rows = tables.windows_scan(view(spark, d, CRAWL), windows, ("keyword", "date_stamp", "hour_stamp"))
+    return rows.groupBy("keyword", "date_stamp").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("a5_daily_window_filter", CRAWL_SQL + """
 SELECT keyword, count(*) AS n FROM crawl WHERE date_stamp = DATE '1998-11-30' GROUP BY keyword""")
 def daily_window_filter(spark, d):

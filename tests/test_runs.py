@@ -134,6 +134,8 @@ def test_majority_cause_ties_are_unknown(spark):
 
 def test_values_match(spark):
     pairs = [("194.35", " 194.350", True), ("4.0", "4", True), ("1.0E7", "10000000", True), ("In Stock", " In Stock ", True),
+             ("1234.5", "₹1,234.50", True), ("1234567", "Rs. 12,34,567/-", True), ("-5", "€ -5", True), ("12.5", "12.5 $", True), ("1,2", "12", False),
+             ("1234", "12,34", False), ("1234", "$$1234", False), ("₹ 10", "10.0", True), ("Rs", "INR", False),
              ("a", "b", False), ("a", None, False), (None, "a", False), (None, None, False)]
     df = spark.createDataFrame(pairs, "a string, b string, want boolean")
     assert [tuple(r) for r in df.select(rc.values_match(F.col("a"), F.col("b")), "want").collect()] == [
@@ -229,6 +231,18 @@ def test_run_quality(spark, small, tmp_path):
     assert samples.groupBy("platform_entry", "rule_id").count().agg(F.max("count")).first()[0] <= 5
 
 
+def test_windows_prune_partitions_while_running(spark, tmp_path):
+    rows = spark.range(240).selectExpr("id", "date_add(DATE '2024-01-01', CAST(id % 5 AS INT)) AS date_stamp", "CAST(id % 24 AS INT) AS hour_stamp")
+    rows.write.partitionBy("date_stamp", "hour_stamp").parquet(str(tmp_path / "crawl"))
+    moments = spark.createDataFrame([("a", "2024-01-02 01:30:00"), ("b", "2024-01-04 09:00:00")], "dataset string, as_of string").selectExpr("dataset", "CAST(as_of AS TIMESTAMP_NTZ) AS as_of")
+    tables.hour_window_table(moments, "as_of", 3).write.parquet(str(tmp_path / "windows"))
+    windows = spark.read.parquet(str(tmp_path / "windows")).where("dataset = 'a'")
+    scan = tables.windows_scan(spark.read.parquet(str(tmp_path / "crawl")), windows)
+    assert "dynamicpruning" in plan_of(scan)
+    assert {(str(r[0]), r[1]) for r in scan.select("date_stamp", "hour_stamp").collect()} <= {("2024-01-01", 23), ("2024-01-02", 0), ("2024-01-02", 1)}
+    assert scan.count() == sum((i % 5, i % 24) in {(0, 23), (1, 0), (1, 1)} for i in range(240)) > 0
+
+
 def test_daily_tables_run_at_their_hour():
     hourly, daily = (Source(None, (RuleSet(d, "p"),)) for d in ("t_osa_hourly", "t_osa_daily"))
     assert due_sources([hourly, daily], "2024-01-01 08:10:00") == [daily]
