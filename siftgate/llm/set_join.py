@@ -200,8 +200,11 @@ def similar_sets(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame
     mixed = named.groupBy("shingle").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("shingle")
     more = list_pairs(named.join(mixed, "shingle"), percent, leading=False).join(tested, ["a", "b"], "left_anti")
     found = linked(more, docs, size, percent)
-    groups = stars(links.unionByName(found))
-    named_members = member.distinct().join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "doc_id", F.coalesce("root", "rep").alias("component_id"))
+    # the texts of a repeated doc_id are one document: their classes are linked by it
+    least = member.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("_last")).filter("a <> _last").drop("_last")
+    own = member.join(least, "doc_id").filter("rep <> a").select("a", F.col("rep").alias("b")).distinct()
+    groups = stars(links.unionByName(found).unionByName(own))
+    named_members = member.join(groups.withColumnRenamed("node", "rep"), "rep", "left").groupBy("doc_id").agg(
+        F.min(F.coalesce("root", "rep")).alias("component_id"))
     return sets.select("doc_id", F.col("n").alias("n_shingles")).join(named_members, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))

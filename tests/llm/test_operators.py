@@ -358,3 +358,19 @@ def test_pipeline(spark, small):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, none, small).schema.fieldNames() == docs.columns
 
+
+
+def test_repeated_ids_are_one_document(spark):
+    w, v = " ".join(f"w{i}" for i in range(60)), " ".join(f"v{i}" for i in range(60))
+    df = spark.createDataFrame([(1, w), (5, v), (7, w), (7, v), (9, "alone")], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["component_id"]) for r in set_join.similar_sets(df).collect())
+    assert got == [(1, 1), (5, 1), (7, 1), (7, 1), (9, 9)]
+
+
+def test_fuzzy_lines_keep_columns_of_any_name(spark):
+    line = "a line that many documents hold in full"
+    df = spark.createDataFrame([(1, f"{line}\nown words here", 7, 8, 9, 10), (2, line, 7, 8, 9, 10)], "doc_id long, text string, _id int, _places int, n_lines int, n_removed int")
+    out = fuzzy_lines.remove_fuzzy_lines(df)
+    assert sorted(out.columns) == sorted(df.columns)
+    got = {r["doc_id"]: (r["text"], r["_id"], r["_places"], r["n_lines"], r["n_removed"]) for r in out.collect()}
+    assert got == {1: (f"{line}\nown words here", 7, 8, 2, 0), 2: ("", 7, 8, 1, 1)}
