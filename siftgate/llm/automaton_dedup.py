@@ -1,14 +1,16 @@
 """Substring dedup with suffix automata of reference shards.
 
 A passage of ``window`` words that also starts in a document with a smaller doc_id is removed. Reference shards are
-the contexts of one anchor (see ``repeats``): all windows that can be equal to each other, at most ``HOT`` contexts.
+the contexts of one anchor (see ``repeats``): all windows that can be equal to each other, at most ``HOT`` of them
+that differ.
 Per shard documents stream in order of doc_id through the suffix automaton of the contexts before them; the matching
 statistics give the maximal spans of ``window`` words or more. A context that is matched whole adds nothing to the
 automaton. The automata are built where the contexts meet instead of being sent to every task: all shards together
 are as large as the repeated part of the corpus, so a broadcast of them would have no bound.
 
 Defined cases: null and empty texts have no words; rows without doc_id are kept whole and refer to nothing; windows of
-one document alone are kept; rows that repeat a doc_id with its text get the same result; extra columns are ignored.
+one document alone are kept; rows that repeat a doc_id with its text get the same result, rows that repeat it with another text are judged each by
+itself, and neither removes from the other; doc_id may be any integer type; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -80,13 +82,13 @@ class Automaton:
 
 
 def shard_spans(rows: list, window: int) -> list:
-    """Spans of one shard; rows (doc_id, first word, text) in order of doc_id."""
-    automaton, out, waiting, current = Automaton(), [], [], rows[0][0]
+    """Spans of one shard; rows ((doc_id, tag), first word, text) in order."""
+    automaton, out, waiting, current = Automaton(), [], [], rows[0][0][0]
     for doc, at, body in rows:
-        if doc != current:
+        if doc[0] != current:
             for words in waiting:
                 automaton.add(words)
-            waiting, current = [], doc
+            waiting, current = [], doc[0]
         words = body.split()
         spans, known = automaton.matches(words, window)
         out += [(doc, at + s, at + e) for s, e in spans]
@@ -96,7 +98,7 @@ def shard_spans(rows: list, window: int) -> list:
 
 
 def removal_spans(docs: DataFrame, window: int = 50) -> DataFrame:
-    """(doc_id, start, end): words to remove; spans may overlap."""
+    """(doc_id, tag, start, end) of rows as from ``repeats.tagged``: words to remove; spans may overlap."""
     copies, contexts = repeats.shared_contexts(docs, "words", window, min(GRAM, window), within=False)
 
     def run(batches):
@@ -108,7 +110,7 @@ def removal_spans(docs: DataFrame, window: int = 50) -> DataFrame:
                 out = []
         yield repeats.span_batch(out)
 
-    spans = repeats.by_anchor(contexts).mapInArrow(run, "doc_id long, start int, end int")
+    spans = repeats.by_anchor(contexts).mapInArrow(run, repeats.SPANS)
     return copies.unionByName(spans).unionByName(repeats.hot_spans(contexts, "words", window, within=False))
 
 
@@ -126,6 +128,7 @@ def remove_passages(docs: DataFrame, window: int = 50) -> DataFrame:
             yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()), pa.array(texts, pa.string())],
                                              names=["doc_id", "n_words", "n_removed", "kept_text"])
 
-    return repeats.with_spans(docs.select("doc_id", "text"), removal_spans(docs, window)).mapInArrow(
+    rows = repeats.tagged(docs)
+    return repeats.with_spans(rows, removal_spans(rows, window)).mapInArrow(
         run, "doc_id long, n_words long, n_removed long, kept_text string")
 

@@ -7,9 +7,10 @@ Lyndon prefixes, groups being refined in descending order through pointers to th
 each group's order is emitted along the same pointers. Neighbours with an equal window form a class, whose earliest
 start stays.
 
-Scale: shards hold at most ``HOT`` contexts; hot anchors are counted window by window (``repeats.hot_spans``).
+Scale: shards hold at most ``HOT`` contexts, all different; hot anchors are counted window by window (``repeats.hot_spans``).
 Defined cases: null text is empty; rows without doc_id are kept whole and refer to nothing; overlaps count; rows that
-repeat a doc_id with its text get the same result; extra columns are ignored.
+repeat a doc_id with its text get the same result; of rows that repeat it with another text the one with the smaller hash
+of its text is the earlier document; doc_id may be any integer type; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -92,7 +93,7 @@ def suffix_array(text: list) -> list[int]:
 
 
 def shard_spans(rows: list, window: int) -> list:
-    """Spans of one shard; rows (doc_id, first byte, bytes) in order."""
+    """Spans of one shard; rows ((doc_id, tag), first byte, bytes) in order."""
     first, out = {}, []
     for doc, at, body in rows:
         if body in first:  # every window of it starts earlier
@@ -146,7 +147,7 @@ def shard_spans(rows: list, window: int) -> list:
 
 
 def removal_spans(docs: DataFrame, window: int = 100) -> DataFrame:
-    """(doc_id, start, end): bytes to remove; spans may overlap."""
+    """(doc_id, tag, start, end) of rows as from ``repeats.tagged``: bytes to remove; spans may overlap."""
     copies, contexts = repeats.shared_contexts(docs, "bytes", window, min(GRAM, window), within=True)
 
     def run(batches):
@@ -158,7 +159,7 @@ def removal_spans(docs: DataFrame, window: int = 100) -> DataFrame:
                 out = []
         yield repeats.span_batch(out)
 
-    spans = repeats.by_anchor(contexts).mapInArrow(run, "doc_id long, start int, end int")
+    spans = repeats.by_anchor(contexts).mapInArrow(run, repeats.SPANS)
     return copies.unionByName(spans).unionByName(repeats.hot_spans(contexts, "bytes", window, within=True))
 
 
@@ -185,5 +186,6 @@ def remove_repeats(docs: DataFrame, window: int = 100) -> DataFrame:
             yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), *(pa.array(x, pa.int64()) for x in (sizes, gone, runs)), pa.array(kept, pa.binary())],
                                              names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    return repeats.with_spans(docs.select("doc_id", "text"), removal_spans(docs, window)).mapInArrow(
+    rows = repeats.tagged(docs)
+    return repeats.with_spans(rows, removal_spans(rows, window)).mapInArrow(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
