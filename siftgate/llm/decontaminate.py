@@ -1,17 +1,16 @@
 """Benchmark decontamination: CGK embedding, bit-sampling LSH over item-sized windows, exact edit verification.
 
 Texts and items are words (runs of letters, digits and non-ASCII characters; case and punctuation do not count). A
-document is contaminated by an item of n words if one of its n-word windows is within ``(100 - percent) * n / 100`` word
-edits of the item. The CGK walk reads a sequence with random stays, so that few edits become few differing places of
+document is contaminated by an item of n words if one of its n-word windows, or the whole text if it has fewer words, is
+within ``(100 - percent) * n / 100`` word edits of the item. The CGK walk reads a sequence with random stays, so that few edits become few differing places of
 its output; each of ``REPEATS`` walks samples ``SAMPLES`` places, and a window that agrees with an item in all places of a
 walk is compared exactly, best agreement first. Windows are taken where one can match at all: of the item's
 ``edits + 1`` rarest words at least one must be in the window, and enough of its words must be words of the benchmark
 (both follow from the edit limit, so no match is lost there).
 
 Scale: no shuffle of texts; one pass over the documents per ``ITEMS`` benchmark items, whose tables are broadcast (their
-size is bounded by ``ITEMS``). Word frequencies, which only choose the rarest words, come from every 16th document.
-Defined cases: null and empty texts match nothing; items without words are skipped; a text shorter than an item is
-not compared with it; equal items are found each; rows without doc_id give rows without doc_id; extra columns are ignored.
+size is bounded by ``ITEMS``). Word frequencies, which choose the rarest words, are counted over all documents, one row per task and word of the block.
+Defined cases: null and empty texts match nothing; items without words are skipped; equal items are found each; rows without doc_id give rows without doc_id; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,8 +33,8 @@ BREAK = np.ones(256, bool)
 BREAK[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
 
-def cgk_samples(words: np.ndarray, walk: int) -> np.ndarray:
-    """Samples of one CGK walk over each row of ``words`` (m sequences of n hashes): one key per row.
+def cgk_samples(words: np.ndarray, walk: int, sizes: np.ndarray | None = None) -> np.ndarray:
+    """Samples of one CGK walk over each row of ``words`` (m sequences of n hashes, or of ``sizes`` of them): one key per row.
 
     At every step the walk writes the current word and moves on or stays, by a random bit of (step, word).
     """
@@ -46,7 +45,7 @@ def cgk_samples(words: np.ndarray, walk: int) -> np.ndarray:
     rows = np.arange(m)
     with np.errstate(over="ignore"):
         for step in range(max(takes) + 1):
-            inside = at < n
+            inside = at < (n if sizes is None else sizes)
             word = np.where(inside, words[rows, np.minimum(at, n - 1)], np.uint64(0))
             if step in takes:
                 key = mix(key * np.uint64(0x100000001B3) + word)
@@ -120,55 +119,61 @@ def spread(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return first[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count), owner
 
 
-def windows(items: Items, words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(start, length) of the windows of a slice that may match; ``at``: first word of each text and the end."""
+def windows(items: Items, words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, item length, own length) of the windows of a slice that may match; ``at``: first word of each text and the end.
+
+    A text with fewer words than the item is one window of its own length.
+    """
     hit = known(items.rare, words)
     seen = np.flatnonzero(hit >= 0)
     entry, of = spread(items.first[hit[seen]], np.diff(items.first)[hit[seen]])
     item, place = items.item[entry], seen[of] - items.place[entry]
     row = np.searchsorted(at, seen[of], "right") - 1
     n, most = items.length[item], items.most[item]
-    lo, hi = np.maximum(place - most, at[row]), np.minimum(place + most, at[row + 1] - n)
+    own = np.minimum(n, at[row + 1] - at[row])
+    short = own < n
+    lo, hi = np.maximum(place - most, at[row]), np.minimum(place + most, at[row + 1] - own)
+    lo, hi = np.where(short, at[row], lo), np.where(short, at[row], hi)
     start, of = spread(lo, np.maximum(hi - lo + 1, 0))
-    n, most = n[of], most[of]
+    n, own, most = n[of], own[of], most[of]
     inside = np.r_[0, np.cumsum(known(items.vocabulary, words) >= 0)]
-    both = np.stack([start, n])[:, inside[start + n] - inside[start] >= n - most]
-    return tuple(np.unique(both, axis=1)) if both.size else (start[:0], n[:0])
+    both = np.stack([start, n, own])[:, inside[start + own] - inside[start] >= n - most]
+    return tuple(np.unique(both, axis=1)) if both.size else (start[:0], n[:0], own[:0])
 
 
 def matches(items: Items, found: dict[int, list]) -> list[tuple]:
-    """(row, item, start, n, distance) from windows (rows, starts, words) by length: for each row and item the first
-    window of the best agreement that verifies."""
+    """(row, item, start, n, distance) from windows (rows, starts, words, sizes) by item length: for each row and item the
+    first window of the best agreement that verifies."""
     agreed, body = defaultdict(int), {}
     for n, parts in found.items():
-        rows, starts = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+        rows, starts, sizes = (np.concatenate([p[i] for p in parts]) for i in (0, 1, 3))
         blocks = np.concatenate([p[2] for p in parts])
         for x in range(0, len(starts), 1 << 15):
             block = blocks[x:x + (1 << 15)]
             for walk in range(REPEATS):
                 table, owner = items.keys[n, walk]
-                keys = cgk_samples(block, walk)
+                keys = cgk_samples(block, walk, sizes[x:x + (1 << 15)])
                 lo, hi = np.searchsorted(table, keys), np.searchsorted(table, keys, "right")
                 for i in np.flatnonzero(hi > lo).tolist():
                     for k in owner[lo[i]:hi[i]].tolist():
                         name = int(rows[x + i]), k, int(starts[x + i])
                         agreed[name] += 1
-                        body[name] = block[i]
+                        body[name] = block[i, :sizes[x + i]]
     out, done = [], set()
     for name, _ in sorted(agreed.items(), key=lambda x: (-x[1], x[0])):
         row, k, start = name
         if (row, k) in done:
             continue
-        n, most = len(items.words[k]), items.edits[k]
+        most = items.edits[k]
         distance = edit_distance(items.words[k].tolist(), body[name].tolist(), most)
         if distance <= most:
             done.add((row, k))
-            out.append((row, items.ids[k], start, n, distance))
+            out.append((row, items.ids[k], start, len(body[name]), distance))
     return out
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = 80) -> DataFrame:
-    """(doc_id, item_id, start, n_words, distance): every item that a document holds."""
+    """(doc_id, item_id, start, n_words, distance): every item that a document holds, with the words of the window."""
     spark = docs.sparkSession
     total = benchmark.count()
     out = spark.createDataFrame([], "doc_id long, item_id long, start int, n_words int, distance int")
@@ -196,8 +201,8 @@ def search(docs: DataFrame, items: Items) -> DataFrame:
                 sums += np.bincount(at[at >= 0], minlength=len(sums))
         yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(sums)), pa.array(sums[sums > 0])], names=["word", "n"])
 
-    some = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(16)) == 0).select("text").mapInArrow(count, "word long, n long")
-    counts = {int(items.vocabulary[r["word"]]): r["n"] for r in some.groupBy("word").agg(F.sum("n").alias("n")).collect()}
+    every = docs.select("text").mapInArrow(count, "word long, n long")
+    counts = {int(items.vocabulary[r["word"]]): r["n"] for r in every.groupBy("word").agg(F.sum("n").alias("n")).collect()}
     items.prepare(counts)
     shared = context.broadcast(items)
 
@@ -206,11 +211,12 @@ def search(docs: DataFrame, items: Items) -> DataFrame:
             ids, found = column(batch, "doc_id"), defaultdict(list)
             for piece in slices(batch):
                 w = piece.words(FOLD, white=BREAK)
-                start, n = windows(shared.value, w.hashes, w.at)
+                start, n, own = windows(shared.value, w.hashes, w.at)
                 row = np.searchsorted(w.at, start, "right") - 1
                 for size in np.unique(n).tolist():
                     some = n == size
-                    found[size].append((row[some] + piece.first, start[some] - w.at[row[some]], w.hashes[start[some][:, None] + np.arange(size)]))
+                    place = np.minimum(start[some][:, None] + np.arange(size), len(w.hashes) - 1)  # words after a short text are not read
+                    found[size].append((row[some] + piece.first, start[some] - w.at[row[some]], w.hashes[place], own[some]))
             out = matches(shared.value, found)
             at, item, start, n, distance = zip(*out) if out else ((),) * 5
             yield pa.RecordBatch.from_arrays([ids.take(pa.array(at, pa.int64())), pa.array(item, pa.int64()), *(pa.array(x, pa.int32()) for x in (start, n, distance))],

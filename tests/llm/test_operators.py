@@ -387,3 +387,36 @@ def test_passages_of_repeated_ids(spark):
     assert [d for d, _ in got] == [1, 1, 5, 7, 7, 7] and got[0] == got[1] == (1, 0) and got[2] == (5, len(w))
     once = [n for d, n in got if d == 7]  # w goes whole, x goes from the third text, v from one of the two
     assert len(w) in once and sum(once) in (len(w) + len(own) + len(v), len(w) + len(own) + len(v) + 1)
+
+
+def test_decontamination_at_the_limit(spark):
+    """Recall at the full edit limit by kind of edit, and for texts shorter than the item; nothing beyond the limit by brute force."""
+    rng = random.Random(12)
+    vocab = [f"w{i}" for i in range(3000)]
+    items = [(k, [rng.choice(vocab) for _ in range(rng.choice((20, 30, 50)))]) for k in range(20)]
+    kinds, docs = defaultdict(list), []
+    for kind in ("substitution", "deletion", "insertion", "short"):
+        for i in range(40):
+            k, item = items[i % 20]
+            part, most = list(item), len(item) // 5
+            if kind == "short":  # the text is the item less its last words
+                part = part[:len(part) - rng.randint(1, most)]
+            else:
+                for _ in range(most if kind == "substitution" else most // 2):
+                    at = rng.randrange(len(part))
+                    part[at:at + (kind != "insertion")] = [] if kind == "deletion" else [rng.choice(vocab)]
+                part = [rng.choice(vocab) for _ in range(40)] + part + [rng.choice(vocab) for _ in range(40)]
+            kinds[kind].append((len(docs), k))
+            docs.append((len(docs), " ".join(part)))
+    docs += [(len(docs), " ".join(items[0][1][:len(items[0][1]) * 3 // 4])), (len(docs) + 1, "w1 w2")]  # shorter than the limit allows
+    table = spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id long, text string")
+    found = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), table).collect()
+    got = {(r["doc_id"], r["item_id"]) for r in found}
+    recall = {kind: sum(x in got for x in want) / len(want) for kind, want in kinds.items()}
+    print(recall)
+    assert all(x >= 0.9 for x in recall.values())
+    body, words_of = dict(docs), dict(items)
+    for r in found:
+        window = body[r["doc_id"]].split()[r["start"]:r["start"] + r["n_words"]]
+        most = len(words_of[r["item_id"]]) // 5
+        assert decontaminate.edit_distance(words_of[r["item_id"]], window, most) == r["distance"] <= most
