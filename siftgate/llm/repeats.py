@@ -75,8 +75,12 @@ def shared_contexts(docs: DataFrame, unit: str, window: int, gram: int, within:
     copies = named.filter((F.col("doc_id") != F.col("rep")) & (F.col("size") >= window)).select(
         "doc_id", "tag", F.lit(0).alias("start"), F.col("size").cast("int").alias("end"))
     alone = marks.join(named.filter(F.col("doc_id") == F.col("rep")).select("doc_id", "tag").distinct(), ["doc_id", "tag"], "left_semi")
-    runs = materialise(alone.select("doc_id", "tag", F.explode(F.arrays_zip("anchors", "contexts", "starts", "ends")).alias("r")).select(
-        "doc_id", "tag", F.col("r.anchors").alias("anchor"), F.col("r.contexts").alias("context"), F.col("r.starts").alias("start"), F.col("r.ends").alias("end")).distinct())
+    lists = ("anchors", "contexts", "starts", "ends")
+    alone = alone.groupBy("doc_id", "tag").agg(*[F.first(x).alias(x) for x in lists])  # equal rows once; already together by the join
+    runs = materialise(alone.select("doc_id", "tag", F.explode(F.arrays_zip(*lists)).alias("r")).select(
+        "doc_id", "tag", F.col("r.anchors").alias("anchor"), F.col("r.contexts").alias("context"), F.col("r.starts").alias("start"), F.col("r.ends").alias("end")))
+    again = runs.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")  # most anchors are of one run
+    runs = materialise(runs.join(again, "anchor"))
     classes = runs.groupBy("anchor", "context").agg(F.min(F.struct("doc_id", "tag", "start")).alias("head"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
     seen = F.sum("n") > 1 if within else F.min("head.doc_id") != F.max("last")
     repeated = classes.groupBy("anchor").agg(F.count("*").alias("classes"), seen.alias("seen")).filter("seen").select("anchor", "classes")
