@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from siftgate.operators import heavy_values
+from siftgate.operators import case_states as cst, heavy_values
 from siftgate.operators import escalation as esc, failures as fl, reporting as rep
 from siftgate.plans.rules import shipped_rules
 from siftgate.workload.check_queries import (CRAWL_SQL, DAILY_SQL, GROUP_FAILS_SQL, GROUP_RULES, OSA_AMAZON_SQL,
@@ -98,6 +98,22 @@ def group_cases(spark, d):
     return fl.fingerprint_cases(records, KEYS).select("case_id", "failed_count", "n_crawls", "failed_share")
 
 
+@query("d2_merged_cases", CRAWL_CASES + """,
+lab AS (SELECT rule_id, keyword, row_number() OVER (PARTITION BY rule_id ORDER BY keyword) AS no
+  FROM (SELECT DISTINCT rule_id, keyword FROM failures))
+SELECT case_id, severity, on_fail, failed_count, n_crawls, failed_share,
+  (SELECT string_agg(keyword, ', ' ORDER BY no) FROM lab WHERE lab.rule_id = cases.rule_id AND no <= 8) AS labels
+FROM cases""")
+def merged_cases(spark, d):
+    """Old and new crawls are judged apart, and their states merged."""
+    rules, crawl, new = shipped_rules("visibility/amazon"), view(spark, d, CRAWL), F.col("time_stamp") >= F.lit("1996-01-01")
+    parts = [crawl.where(~new), crawl.where(new)]
+    states = cst.merge_case_states(*[cst.case_states(fl.failure_records(p, rules), KEYS) for p in parts])
+    sizes = cst.merge_entry_sizes(*[cst.entry_sizes(p, rules) for p in parts])
+    return cst.cases_of(states, sizes).select("case_id", "severity", "on_fail", "failed_count", "n_crawls", "failed_share",
+                                              F.array_join("crawl_labels", ", ").alias("labels"))
+
+
 SAMPLE = ["platform_code", "sp", "absolute_rank"]
 
 
