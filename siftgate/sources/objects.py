@@ -8,10 +8,13 @@ import zipfile
 import zlib
 from typing import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
+OUTPUT_CHARS = 4 << 20  # page text of a batch that leaves Python
+
+
 def first_member_text(content: bytes | None) -> str | None:
     """First file of a zip as UTF-8; broken bytes are replaced, a broken, encrypted or unsupported archive gives null."""
     if content is None:
@@ -25,17 +28,24 @@ def first_member_text(content: bytes | None) -> str | None:
 
 
 def unzip_pages(objects: DataFrame, content: str = "content") -> DataFrame:
-    """Replace the zipped content column by ``html``. Partition-local, Arrow batches."""
+    """Replace the zipped content column by ``html``. Partition-local, Arrow batches; one page is unzipped at a time, and
+    batches are cut at ``OUTPUT_CHARS`` of text, whatever a batch of zips holds."""
     rest = [f for f in objects.schema.fields if f.name != content]
     schema = T.StructType([*rest, T.StructField("html", T.StringType())])
     names = [f.name for f in rest]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            html = [first_member_text(c) for c in pdf[content]]
-            yield pdf[names].assign(html=html)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            zips, html, size, start = batch.column(content), [], 0, 0
+            for i in range(batch.num_rows):
+                html.append(first_member_text(zips[i].as_py()))
+                size += len(html[-1] or "")
+                if size >= OUTPUT_CHARS or i + 1 == batch.num_rows:
+                    kept = [batch.column(n).slice(start, len(html)) for n in names]
+                    yield pa.RecordBatch.from_arrays([*kept, pa.array(html, pa.string())], names=[*names, "html"])
+                    html, size, start = [], 0, i + 1
 
-    return objects.mapInPandas(run, schema)
+    return objects.mapInArrow(run, schema)
 
 
 def raw_page_source(spark: SparkSession, root: str, glob: str = "*.zip") -> DataFrame:

@@ -6,7 +6,6 @@ import io
 import re
 import zipfile
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -99,16 +98,18 @@ def daily_window_filter(spark, d):
 def zipped(pages: DataFrame) -> DataFrame:
     """Pages as crawl objects: a zip with the source as its first member."""
     def pack(batches):
-        for pdf in batches:
-            content = []
-            for text in pdf["html"]:
-                buffer = io.BytesIO()
-                with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-                    archive.writestr("page.html", text)
-                    archive.writestr("later.html", "not read")
-                content.append(buffer.getvalue())
-            yield pd.DataFrame({"page_id": pdf["page_id"], "content": content})
-    return pages.select("page_id", "html").mapInPandas(pack, "page_id long, content binary")
+        for batch in batches:
+            keys, html = batch.column("page_id"), batch.column("html")
+            for start in range(0, batch.num_rows, 256):  # few pages at a time, whatever a batch holds
+                content = []
+                for text in html.slice(start, 256):
+                    buffer = io.BytesIO()
+                    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+                        archive.writestr("page.html", text.as_py())
+                        archive.writestr("later.html", "not read")
+                    content.append(buffer.getvalue())
+                yield pa.RecordBatch.from_arrays([keys.slice(start, 256), pa.array(content, pa.binary())], names=["page_id", "content"])
+    return pages.select("page_id", "html").mapInArrow(pack, "page_id long, content binary")
 
 
 @query("a6_raw_page_source", "SELECT page_id, md5(html) AS digest, CAST(length(html) AS INT) AS chars FROM pages")
