@@ -364,7 +364,7 @@ def opaque_row(spark, d):
     return per_keyword(view(spark, d, CRAWL), Rule("r", "digit_sum", "platform_code", {"step": 3}))
 
 
-@opaque_checks.opaque_group_check("spread_max")
+@opaque_checks.opaque_group_check("variance_max")
 class SpreadMax:
     """Variance of a whole-number column, by its count, sum and sum of squares."""
 
@@ -389,7 +389,7 @@ SELECT keyword, time_stamp, count(*) AS group_rows, concat(coalesce(sum(num_of_r
     <= 200 * count(num_of_rating) * count(num_of_rating) AS ok
 FROM crawl WHERE product_type <> 'SD' GROUP BY keyword, time_stamp""", text=("time_stamp",))
 def opaque_group(spark, d):
-    out = single(view(spark, d, CRAWL), "spread_max", "num_of_rating", {"max": 200}, ["keyword", "time_stamp"], "product_type <> 'SD'")
+    out = single(view(spark, d, CRAWL), "variance_max", "num_of_rating", {"max": 200}, ["keyword", "time_stamp"], "product_type <> 'SD'")
     return out.select("keyword", "time_stamp", "group_rows", "detail", "ok")
 
 
