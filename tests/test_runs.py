@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from siftgate.operators import call_stats as cs, escalation as esc, failures as fl, reconcile as rc
 from siftgate.sources.runs import read_table
+from siftgate.plans import investigation
 from siftgate.plans.quality_run import Policy, Source, due_sources, run_quality
 from siftgate.plans.rules import Rule, RuleSet, shipped_rules
 from siftgate.sources import tables
@@ -248,3 +249,15 @@ def test_daily_tables_run_at_their_hour():
     assert due_sources([hourly, daily], "2024-01-01 08:10:00") == [daily]
     assert due_sources([hourly, daily], "2024-01-01 09:10:00") == [hourly]
     assert due_sources([hourly, daily], "2024-01-01 09:10:00", force_daily=True) == [daily]
+
+
+def test_page_values_are_grouped_for_investigated_rows_only(spark):
+    found = spark.createDataFrame([(7, 0.0, "o1", "Amazon", "low", "c1", 1), (8, 0.5, None, "Amazon", "low", "c1", 2)],
+                                  "row_id long, sp double, object_name string, platform_entry string, rule_id string, case_id string, sample_no int")
+    extraction = spark.range(100).select(F.col("id").alias("row_id"), F.lit("sp").alias("column"), F.lit("12.50").alias("html_value"),
+                                         F.lit("//b").alias("current_xpath"), F.lit("//i").alias("working_xpath"))
+    out = investigation.row_verdicts(found, [Rule("low", "range", "sp", {"min": 1})],
+                                     investigation.Evidence(found, "", "row_id", ("row_id",), extraction))
+    assert [(r["case_id"], r["row_seq"], r["suggested_xpath"]) for r in out.orderBy("row_seq").collect()] == [("c1", 1, "//i"), ("c1", 2, None)]  # no page for the second
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan
