@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from siftgate.llm.spans import anchor_runs, column, prefix, ranges, slices
-from siftgate.sources.storage import materialise
+from siftgate.sources.storage import materialise, release
 
 HOT = 5_000
 
@@ -70,23 +70,26 @@ def shared_contexts(docs: DataFrame, unit: str, window: int, gram: int, within:
     (first value), body (bytes; words are joined by one blank).
     """
     marks = materialise(text_marks(docs.filter(F.col("doc_id").isNotNull()), unit, window, gram))
-    texts = marks.select("doc_id", "tag", "size", "one")
+    texts = materialise(marks.select("doc_id", "tag", "size", "one"))
     named = texts.join(texts.groupBy("one", "size").agg(F.min("doc_id").alias("rep")), ["one", "size"])
     copies = named.filter((F.col("doc_id") != F.col("rep")) & (F.col("size") >= window)).select(
         "doc_id", "tag", F.lit(0).alias("start"), F.col("size").cast("int").alias("end"))
     alone = marks.join(named.filter(F.col("doc_id") == F.col("rep")).select("doc_id", "tag").distinct(), ["doc_id", "tag"], "left_semi")
     lists = ("anchors", "contexts", "starts", "ends")
     alone = alone.groupBy("doc_id", "tag").agg(*[F.first(x).alias(x) for x in lists])  # equal rows once; already together by the join
-    runs = materialise(alone.select("doc_id", "tag", F.explode(F.arrays_zip(*lists)).alias("r")).select(
+    every = materialise(alone.select("doc_id", "tag", F.explode(F.arrays_zip(*lists)).alias("r")).select(
         "doc_id", "tag", F.col("r.anchors").alias("anchor"), F.col("r.contexts").alias("context"), F.col("r.starts").alias("start"), F.col("r.ends").alias("end")))
-    again = runs.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")  # most anchors are of one run
-    runs = materialise(runs.join(again, "anchor"))
+    release(marks)
+    again = every.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")  # most anchors are of one run
+    runs = materialise(every.join(again, "anchor"))
+    release(every)
     classes = runs.groupBy("anchor", "context").agg(F.min(F.struct("doc_id", "tag", "start")).alias("head"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
     seen = F.sum("n") > 1 if within else F.min("head.doc_id") != F.max("last")
     repeated = classes.groupBy("anchor").agg(F.count("*").alias("classes"), seen.alias("seen")).filter("seen").select("anchor", "classes")
     known = runs.join(classes.join(repeated, "anchor").select("anchor", "context", "head", "classes"), ["anchor", "context"])
     later = F.struct("doc_id", "tag", "start") > F.col("head") if within else F.col("doc_id") > F.col("head.doc_id")
     known = materialise(known.filter(later | (F.col("classes") > 1)).select("anchor", "doc_id", "tag", "start", "end", later.alias("later"), (F.col("classes") > HOT).alias("hot")))
+    release(runs)
     copies = copies.unionByName(known.filter("later").select("doc_id", "tag", "start", (F.col("end") + (window - 1)).alias("end")))
     hits = known.filter("not later").groupBy("doc_id", "tag").agg(F.sort_array(F.collect_list(F.struct("start", "end", "anchor", "hot"))).alias("hits"))
 

@@ -1,11 +1,11 @@
 """Suffix-array dedup over bytes, suffix arrays by linear grouping.
 
 A byte is removed if a ``window``-byte string that covers it also starts earlier (smaller doc_id, or the same document
-further left). The contexts of one anchor (see ``repeats``) hold all windows that can be equal; the distinct ones of a
-shard are joined by separators and their suffix array is built without renaming: suffixes are grouped by their
-Lyndon prefixes, groups being refined in descending order through pointers to the previous smaller group, and then
-each group's order is emitted along the same pointers. Neighbours with an equal window form a class, whose earliest
-start stays.
+further left). The contexts of one anchor (see ``repeats``) hold all windows that can be equal; they are cut to the windows
+whose hash comes again in the shard. The distinct parts of a shard are joined by separators and their suffix array is built
+without renaming: suffixes are grouped by their Lyndon prefixes, groups being refined in descending order through pointers
+to the previous smaller group, and then each group's order is emitted along the same pointers. Neighbours with an equal
+window form a class, whose earliest start stays.
 
 Scale: shards hold at most ``HOT`` contexts, all different; hot anchors are counted window by window (``repeats.hot_spans``).
 Defined cases: null text is empty; rows without doc_id are kept whole and refer to nothing; overlaps count; rows that
@@ -17,11 +17,12 @@ from __future__ import annotations
 
 from collections import defaultdict
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from siftgate.llm import repeats
-from siftgate.llm.spans import column
+from siftgate.llm.spans import SLICE, column, mix, prefix, ranges
 
 GRAM = 24
 
@@ -146,13 +147,51 @@ def shard_spans(rows: list, window: int) -> list:
     return out
 
 
+def recurring(groups, window: int):
+    """Groups with the parts of their contexts that hold windows whose hash comes again in the group; others repeat nothing.
+
+    Hashes are taken over many groups at once; parts of a context keep its order. Groups without such parts are left out.
+    """
+    def parts(held):
+        rows, group = [r for g in held for r in g], np.repeat(np.arange(len(held), dtype=np.uint64), [len(g) for g in held])
+        at = np.r_[0, np.cumsum([len(body) for _, _, body in rows])]
+        sums = prefix(np.frombuffer(b"".join(body for _, _, body in rows), np.uint8).astype(np.uint64) + np.uint64(1))
+        n = np.maximum(np.diff(at) - window + 1, 0)
+        row = np.repeat(np.arange(len(rows)), n)
+        start = np.arange(n.sum()) + np.repeat(at[:-1] - (np.cumsum(n) - n), n)
+        key = mix(ranges(sums, start, start + window) + mix(group + np.uint64(1))[row])
+        order = np.argsort(key)
+        same = np.diff(key[order]) == 0
+        again = np.zeros(len(key), bool)
+        again[order[1:][same]] = again[order[:-1][same]] = True
+        place = np.flatnonzero(again)
+        opens = np.flatnonzero(np.diff(place, prepend=-2) + np.diff(row[place], prepend=-1) != 1)
+        out = [[] for _ in held]
+        for first, last in zip(place[opens].tolist(), place[np.r_[opens[1:], len(place)] - 1].tolist() if len(place) else ()):
+            r = int(row[first])
+            doc, begin, body = rows[r]
+            i, j = int(start[first] - at[r]), int(start[last] - at[r]) + window
+            out[int(group[r])].append((doc, begin + i, body[i:j]))
+        return [g for g in out if g]
+
+    held, size = [], 0
+    for g in groups:
+        held.append(g)
+        size += sum(len(body) for _, _, body in g)
+        if size > SLICE:
+            yield from parts(held)
+            held, size = [], 0
+    if held:
+        yield from parts(held)
+
+
 def removal_spans(docs: DataFrame, window: int = 100) -> DataFrame:
     """(doc_id, tag, start, end) of rows as from ``repeats.tagged``: bytes to remove; spans may overlap."""
     copies, contexts = repeats.shared_contexts(docs, "bytes", window, min(GRAM, window), within=True)
 
     def run(batches):
         out = []
-        for rows in repeats.groups(batches):
+        for rows in recurring(repeats.groups(batches), window):
             out += shard_spans(rows, window)
             if len(out) > 50_000:
                 yield repeats.span_batch(out)

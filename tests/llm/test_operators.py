@@ -420,3 +420,20 @@ def test_decontamination_at_the_limit(spark):
         window = body[r["doc_id"]].split()[r["start"]:r["start"] + r["n_words"]]
         most = len(words_of[r["item_id"]]) // 5
         assert decontaminate.edit_distance(words_of[r["item_id"]], window, most) == r["distance"] <= most
+
+
+def test_contexts_are_cut_to_recurring_windows():
+    """Suffix arrays get only the windows that come again in their group, in the order of the contexts; the bytes to remove stay the same."""
+    rng = random.Random(21)
+    say = lambda n: bytes(rng.choice(b"abc ") for _ in range(n))
+    one, two, own = say(40), say(35), [say(50) for _ in range(4)]
+    split = [((1, 1), 0, one + own[0][:10] + two), ((3, 1), 7, own[1] + one + own[0][:10]), ((3, 1), 200, one + b"#" + two), ((4, 1), 5, one)]
+    rows = [split, [((2, 1), 0, own[2])], [((5, 1), 0, one), ((6, 1), 0, two)], [((7, 1), 3, own[3] + two), ((8, 1), 9, two + own[2])]]
+    cut = list(suffix_groups.recurring(iter(rows), 30))
+    assert cut == [[((1, 1), 0, one + own[0][:10] + two[:0]), ((1, 1), 50, two), ((3, 1), 57, one + own[0][:10]), ((3, 1), 200, one), ((3, 1), 241, two), ((4, 1), 5, one)],
+                   [((7, 1), 53, two), ((8, 1), 9, two)]]
+
+    def removed(groups):
+        return sorted({(d, k) for g in groups for d, start, end in suffix_groups.shard_spans(g, 30) for k in range(start, end)})
+
+    assert removed(cut) == removed(rows) and list(suffix_groups.recurring(iter([]), 30)) == []
