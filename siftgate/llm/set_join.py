@@ -10,6 +10,9 @@ list's leading class (the one that is in most lists). Classes that link to it sh
 components, which a second round compares one by one. No link between components is lost, and a group of n near copies
 costs about n comparisons, not n * n.
 
+Before a pair's texts are read, ``64 * WORDS`` bits of each set bound how many shingles differ: a long list of sets that are
+alike, but less than ``percent``, gives few candidates.
+
 Scale: sets are never shuffled, only their prefixes (``100 - percent`` percent of the shingles); texts move only for
 candidate pairs. Frequent shingles come last in the order: hash classes of shingles are counted over all documents in
 a table of fixed size, which affects speed alone (any order is exact). Hashes have 64 bits.
@@ -31,6 +34,7 @@ from siftgate.sources.storage import materialise
 COUNTERS = 16
 SHIFT = np.uint64(64 - COUNTERS)
 BLOCK = 256
+WORDS = 16  #: of 64 bits each, in the bits of a set
 
 
 def shingles(piece: Slice, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -67,7 +71,7 @@ def frequent(docs: DataFrame, size: int) -> np.ndarray:
 
 
 def set_prefixes(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Per document: n (set size), two hashes of the set, and the shingles of its prefix in order."""
+    """Per document: n (set size), two hashes of the set, its bits (see ``apart``), and the shingles of its prefix in order."""
     keys = docs.sparkSession.sparkContext.broadcast(frequent(docs, size))  # 2 ** COUNTERS counts
 
     def run(batches):
@@ -81,6 +85,8 @@ def set_prefixes(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 with np.errstate(over="ignore"):
                     np.add.at(one, rows, mix(hashes))
                 np.bitwise_xor.at(two, rows, mix(hashes ^ np.uint64(0xABCDEF)))
+                bits = np.zeros(piece.rows * WORDS, np.uint64)
+                np.bitwise_xor.at(bits, rows * WORDS + (hashes & np.uint64(WORDS - 1)).astype(np.int64), np.uint64(1) << (hashes >> np.uint64(8) & np.uint64(63)))
                 often = counts[(hashes >> SHIFT).astype(np.int64)]
                 order = np.lexsort((hashes, often, rows))
                 rows, hashes = rows[order], hashes[order]
@@ -90,9 +96,23 @@ def set_prefixes(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 offsets = pa.array(np.searchsorted(rows[keep], np.arange(piece.rows + 1)).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(piece.first, piece.rows), pa.array(n.astype(np.int64)), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)),
-                     pa.ListArray.from_arrays(offsets, pa.array(hashes[keep].view(np.int64)))], names=["doc_id", "n", "one", "two", "prefix"])
+                     pa.ListArray.from_arrays(pa.array(np.arange(piece.rows + 1, dtype=np.int32) * WORDS), pa.array(bits.view(np.int64))),
+                     pa.ListArray.from_arrays(offsets, pa.array(hashes[keep].view(np.int64)))], names=["doc_id", "n", "one", "two", "bits", "prefix"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, one long, two long, bits array<long>, prefix array<long>")
+
+
+def apart(na, nb, differing, percent: int):
+    """Whether sets of these sizes are too different, by how many of their bits differ. Each shingle flips one of a set's bits, so
+    the sets differ in at least as many shingles: no similar pair is apart."""
+    return differing * (100 + percent) > (na + nb) * (100 - percent)
+
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, one long, two long, prefix array<long>")
+def not_apart(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that the bits of their sets leave."""
+    sides = [sets.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}")) for x in "ab"]
+    differing = F.expr("aggregate(zip_with(bits_a, bits_b, (x, y) -> bit_count(x ^ y)), 0, (x, y) -> x + y)")
+    return pairs.join(sides[0], "a").join(sides[1], "b").filter(~apart(F.col("n_a"), F.col("n_b"), differing, percent)).select("a", "b")
 
 
 def enough(na: np.ndarray, nb: np.ndarray, pa_: np.ndarray, pb: np.ndarray, percent: int) -> np.ndarray:
@@ -103,7 +123,7 @@ def enough(na: np.ndarray, nb: np.ndarray, pa_: np.ndarray, pb: np.ndarray, perc
 
 def list_pairs(postings: DataFrame, percent: int, leading: bool) -> DataFrame:
     """Candidate pairs (a, b) of the lists. leading: each class with the leading class of its list and size range only;
-    else all pairs of different components. Postings: shingle, rep, n, place and weight or comp."""
+    else all pairs of different components whose bits are not apart. Postings: shingle, rep, n, place and weight or comp and bits."""
     def run(batches):
         rest = None
         for batch in batches:
@@ -119,6 +139,7 @@ def list_pairs(postings: DataFrame, percent: int, leading: bool) -> DataFrame:
     def emit(table):
         key, rep, n, place = (table.column(c).to_numpy() for c in ("shingle", "rep", "n", "place"))
         comp = table.column("comp").to_numpy() if not leading else rep
+        bits = table.column("bits").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, WORDS) if not leading else rep
         weight = table.column("weight").to_numpy() if leading else rep
         first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         last = np.r_[first[1:], len(key)]
@@ -145,14 +166,17 @@ def list_pairs(postings: DataFrame, percent: int, leading: bool) -> DataFrame:
                     p, q = np.nonzero(ok)
                     p, q = p + x, q + u
                     p, q = p[q > p], q[q > p]
-                    a.append(rep[p])
-                    b.append(rep[q])
+                    for k in range(0, len(p), BLOCK * BLOCK // WORDS):
+                        i_, j_ = p[k:k + BLOCK * BLOCK // WORDS], q[k:k + BLOCK * BLOCK // WORDS]
+                        left = ~apart(n[i_], n[j_], np.bitwise_count(bits[i_] ^ bits[j_]).sum(1, dtype=np.int64), percent)
+                        a.append(rep[i_[left]])
+                        b.append(rep[j_[left]])
         a, b = np.concatenate(a), np.concatenate(b)
         lo, hi = np.minimum(a, b), np.maximum(a, b)
         pairs = np.unique(np.stack([lo, hi]), axis=1) if len(lo) else np.zeros((2, 0), np.int64)
         return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
-    cols = ["shingle", "rep", "n", "place", "weight" if leading else "comp"]
+    cols = ["shingle", "rep", "n", "place", *(["weight"] if leading else ["comp", "bits"])]
     return (postings.select(cols).repartition("shingle").sortWithinPartitions("shingle", "n", "rep")
             .mapInArrow(run, "a long, b long").distinct())
 
@@ -193,12 +217,13 @@ def similar_sets(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame
     postings = materialise(posted.join(shared, "shingle").select("shingle", "rep", "n", F.col("place").cast("long").alias("place")))
     weights = postings.groupBy("rep").agg(F.count("*").alias("weight"))  # in how many lists a class is: an original is in most
     tested = materialise(list_pairs(postings.join(weights, "rep"), percent, leading=True))
-    links = materialise(linked(tested, docs, size, percent))
+    bits = reps.select(F.col("doc_id").alias("rep"), "n", "bits")
+    links = materialise(linked(not_apart(tested, bits, percent), docs, size, percent))
     comp = stars(links)
     named = postings.join(comp.select(F.col("node").alias("rep"), "root"), "rep", "left").select(
         "shingle", "rep", "n", "place", F.coalesce("root", "rep").alias("comp"))
     mixed = named.groupBy("shingle").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("shingle")
-    more = list_pairs(named.join(mixed, "shingle"), percent, leading=False).join(tested, ["a", "b"], "left_anti")
+    more = list_pairs(named.join(mixed, "shingle").join(bits.select("rep", "bits"), "rep"), percent, leading=False).join(tested, ["a", "b"], "left_anti")
     found = linked(more, docs, size, percent)
     # the texts of a repeated doc_id are one document: their classes are linked by it
     least = member.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("_last")).filter("a <> _last").drop("_last")

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from siftgate.llm import (automaton_dedup, byte_bpe, decontaminate, fuzzy_lines, line_rules, ngram_lm, pii_boost, quality_model,
                           set_join, suffix_groups)
@@ -437,3 +438,27 @@ def test_contexts_are_cut_to_recurring_windows():
         return sorted({(d, k) for g in groups for d, start, end in suffix_groups.shard_spans(g, 30) for k in range(start, end)})
 
     assert removed(cut) == removed(rows) and list(suffix_groups.recurring(iter([]), 30)) == []
+
+
+def test_lists_of_sets_below_the_limit_give_few_candidates(spark):
+    """Near copies whose similarity is below the limit share many lists; their bits keep most pairs from being candidates, and no similar pair is apart."""
+    rng = random.Random(31)
+    base = [f"w{i}" for i in range(240)]
+    rows = []
+    for k in range(60):  # each differs from the others in about 20 % of the shingles
+        words = list(base)
+        for p in range(6):
+            words[rng.randrange(240)] = f"x{k}_{p}"
+        rows.append((k, " ".join(words)))
+    rows.append((90, rows[3][1] + " end"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = set_join.set_prefixes(docs, 4, 85)
+    bits = sets.select(F.col("doc_id").alias("rep"), "n", "bits")
+    postings = sets.select(F.col("doc_id").alias("rep"), "n", F.posexplode("prefix").alias("place", "shingle"), F.col("doc_id").alias("comp"), "bits").withColumn("place", F.col("place").cast("long"))
+    grams = {d: {tuple(t.split()[i:i + 4]) for i in range(len(t.split()) - 3)} for d, t in rows}
+    near = {(a, b) for a in grams for b in grams if a < b and 100 * len(grams[a] & grams[b]) >= 85 * len(grams[a] | grams[b])}
+    found = {(r["a"], r["b"]) for r in set_join.list_pairs(postings, 85, leading=False).collect()}
+    assert (3, 90) in near and near <= found and len(found) < 61 * 60 // 2 // 4
+    every = spark.createDataFrame([(a, b) for a in grams for b in grams if a < b], "a long, b long")
+    left = {(r["a"], r["b"]) for r in set_join.not_apart(every, bits, 85).collect()}
+    assert near <= left and found <= left
