@@ -34,6 +34,7 @@ COMMON = 400_000
 MU = 4.0
 STEP = 1 / 4096            #: of the quantised log10 probabilities
 RARE = 65535               #: in place of a quantised probability: the pair's word is in the block's list of rare words
+PACKED = 4 << 20           #: bytes of text whose pairs are packed together
 BEGIN, END = np.uint64(1), np.uint64(2)
 LOW32 = np.uint64(0xFFFFFFFF)
 
@@ -187,31 +188,44 @@ def pair_scores(docs: DataFrame, words: DataFrame, common: Common, train_docs: i
         known, place = shared.value, TaskContext.get().partitionId() << 32
         for batch in batches:
             ids, train = column(batch, "doc_id").to_numpy(zero_copy_only=False), column(batch, "train").to_numpy(zero_copy_only=False).astype(bool)
-            for piece in slices(batch, limit=4 << 20):
+            held, size = [], 0
+            for piece in slices(batch):
                 row, v, u = tokens(piece)
                 cv, often = known.count(v), (known.count(u) >= 0) | (u == BEGIN)
                 logs = np.clip(np.round(-known.base(np.maximum(cv, 0)) / STEP), 0, RARE - 1).astype(np.uint16)  # a word that is in no count has 0
                 logs[(cv < 0) & (not known.whole)] = RARE
                 spread = mix(np.where(often, u ^ mix(v), u))
-                shard = ((spread >> np.uint64(20)) % np.uint64(shards)).astype(np.int64)
-                order = np.lexsort((v & LOW32, u & LOW32, shard))
-                edges = np.searchsorted(shard[order], np.arange(shards + 1))
-                first = piece.first
-                out, place = [[], [], [], [], [], []], place + 1
-                for s in range(shards):
-                    part = order[edges[s]:edges[s + 1]]
-                    if not len(part):
-                        continue
-                    docs_, at = np.unique(row[part], return_inverse=True)
-                    blob = np.concatenate([np.diff((u[part] & LOW32).astype(np.int64), prepend=0).astype(np.uint32).view(np.uint8), (v[part] & LOW32).astype(np.uint32).view(np.uint8),
-                                           at.astype(np.uint32).view(np.uint8), logs[part].view(np.uint8)])
-                    body = pa.compress(blob.tobytes(), codec="zstd", asbytes=True)
-                    rare = v[part][logs[part] == RARE].view(np.int64)
-                    for to, x in zip(out, (s, len(part), body, ids[first + docs_].astype(np.int64).tobytes(), train[first + docs_].tobytes(), rare)):
-                        to.append(x)
-                yield pa.RecordBatch.from_arrays([pa.array([place] * len(out[0]), pa.int64()), pa.array(out[0], pa.int32()), pa.array(out[1], pa.int64()),
-                                                  *(pa.array(x, pa.binary()) for x in out[2:5]), pa.array(out[5], pa.list_(pa.int64()))],
-                                                 names=["place", "shard", "n", "body", "docs", "train", "rare"])
+                held.append(((row + piece.first).astype(np.int32), v, (u & LOW32).astype(np.uint32), logs, ((spread >> np.uint64(20)) % np.uint64(shards)).astype(np.int32)))
+                size += len(piece.data)
+                if size >= PACKED:
+                    place += 1
+                    yield blocks_of(held, ids, train, place)
+                    held, size = [], 0
+            if held:
+                place += 1
+                yield blocks_of(held, ids, train, place)
+
+    def blocks_of(held, ids, train, place):
+        """One row for each shard of some slices' pairs; only what is kept of a pair is held for all slices."""
+        row, v, u, logs, shard = (np.concatenate(x) for x in zip(*held))
+        held.clear()
+        order = np.lexsort((v.astype(np.uint32), u, shard))
+        edges = np.searchsorted(shard[order], np.arange(shards + 1))
+        out = [[], [], [], [], [], []]
+        for s in range(shards):
+            part = order[edges[s]:edges[s + 1]]
+            if not len(part):
+                continue
+            docs_, at = np.unique(row[part], return_inverse=True)
+            blob = np.concatenate([np.diff(u[part].astype(np.int64), prepend=0).astype(np.uint32).view(np.uint8), v[part].astype(np.uint32).view(np.uint8),
+                                   at.astype(np.uint32).view(np.uint8), logs[part].view(np.uint8)])
+            body = pa.compress(blob.tobytes(), codec="zstd", asbytes=True)
+            rare = v[part][logs[part] == RARE].view(np.int64)
+            for to, x in zip(out, (s, len(part), body, ids[docs_].astype(np.int64).tobytes(), train[docs_].tobytes(), rare)):
+                to.append(x)
+        return pa.RecordBatch.from_arrays([pa.array([place] * len(out[0]), pa.int64()), pa.array(out[0], pa.int32()), pa.array(out[1], pa.int64()),
+                                           *(pa.array(x, pa.binary()) for x in out[2:5]), pa.array(out[5], pa.list_(pa.int64()))],
+                                          names=["place", "shard", "n", "body", "docs", "train", "rare"])
 
     def counted(batches):
         """Counts of rare words as rows of their shards, at place 0."""
@@ -230,7 +244,10 @@ def pair_scores(docs: DataFrame, words: DataFrame, common: Common, train_docs: i
         """Rows of sorted batches, a list for each value of the key."""
         held = []
         for batch in batches:
-            for r in batch.to_pylist():
+            lists = batch.column("rare") if "rare" in batch.schema.names else None
+            for i, r in enumerate(batch.drop_columns(["rare"]).to_pylist() if lists is not None else batch.to_pylist()):
+                if lists is not None:
+                    r["rare"] = lists[i].values.to_numpy()
                 if held and r[key] != held[0][key]:
                     yield held
                     held = []
@@ -249,16 +266,18 @@ def pair_scores(docs: DataFrame, words: DataFrame, common: Common, train_docs: i
             yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(sums)], names=["doc_id", "score"])
 
     def shard_scores(rows):
-        known, parts, ids, train, base = shared.value, [], [], [], 0
+        known, ids, train, base, begin = shared.value, [], [], 0, 0
         counts, rows = [r for r in rows if not r["place"]], [r for r in rows if r["place"]]
+        total_n = sum(r["n"] for r in rows)
+        u, v, doc, logs = (np.empty(total_n, t) for t in (np.uint32, np.uint32, np.int32, np.uint16))
         for r in rows:
             n, blob = r["n"], np.frombuffer(pa.decompress(r["body"], decompressed_size=14 * r["n"], codec="zstd", asbytes=True), np.uint8)
-            u = (np.cumsum(blob[:4 * n].view(np.uint32).astype(np.int64)) & 0xFFFFFFFF).astype(np.uint64)
-            parts.append((u, blob[4 * n:8 * n].view(np.uint32).astype(np.uint64), blob[8 * n:12 * n].view(np.uint32).astype(np.int64) + base, blob[12 * n:].view(np.uint16)))
+            r["body"], to = None, slice(begin, begin + n)
+            u[to] = np.cumsum(blob[:4 * n].view(np.uint32), dtype=np.uint32)
+            v[to], doc[to], logs[to] = blob[4 * n:8 * n].view(np.uint32), blob[8 * n:12 * n].view(np.uint32).astype(np.int32) + base, blob[12 * n:].view(np.uint16)
             ids.append(np.frombuffer(r["docs"], np.int64))
             train.append(np.frombuffer(r["train"], bool))
-            base += len(ids[-1])
-        u, v, doc, logs = (np.concatenate([p[i] for p in parts]) for i in range(4))
+            base, begin = base + len(ids[-1]), begin + n
         ids, train = np.concatenate(ids), np.concatenate(train)
         lower = logs * -STEP
         if not known.whole:
@@ -271,19 +290,20 @@ def pair_scores(docs: DataFrame, words: DataFrame, common: Common, train_docs: i
             words_, times = np.r_[words_[order], 0], np.r_[times[order], 0]
             at = np.searchsorted(words_[:-1], rare)
             lower[logs == RARE] = known.base(np.where(words_[at] == rare, times[at], 0))
-        key = u << np.uint64(32) | v
-        learnt, where, times = np.unique(key[train[doc]], return_index=True, return_counts=True)
-        lu, lv = learnt >> np.uint64(32), learnt & LOW32
-        contexts, inverse = np.unique(u, return_inverse=True)
-        totals = np.bincount(inverse[train[doc]], minlength=len(contexts)).astype(float)  # right where a context is whole in its shard
+        learning = train[doc]
+        key, sample, inverse = np.unique(u.astype(np.uint64) << np.uint64(32) | v, return_index=True, return_inverse=True)  # each pair once
+        del u, v, logs
+        times, lower = np.bincount(inverse[learning], minlength=len(key)), lower[sample]
+        u, v = key >> np.uint64(32), key & LOW32
+        contexts, context = np.unique(u, return_inverse=True)
+        totals = np.bincount(context, times, minlength=len(contexts))  # right where a context is whole in its shard
         often = known.short(contexts)
         totals = np.where(often >= 0, often, totals)
         totals[contexts == (BEGIN & LOW32)] = train_docs
-        total = totals[inverse]
-        mass = 10 ** lower
-        logs_ = np.log10((times + MU * mass[train[doc]][where]) / (total[train[doc]][where] + MU))
-        held, value = Trie(lu, lv, logs_).find(u, v)
-        scores = np.where(held, value, np.log10(MU * mass / (total + MU)))
+        total, mass, learnt = totals[context], 10 ** lower, times > 0
+        logs_ = np.log10((times[learnt] + MU * mass[learnt]) / (total[learnt] + MU))
+        held, value = Trie(u[learnt], v[learnt], logs_).find(u, v)
+        scores = np.where(held, value, np.log10(MU * mass / (total + MU)))[inverse]
         sums, edges = np.bincount(doc, scores, minlength=len(ids)), np.cumsum([0, *(len(r["docs"]) // 8 for r in rows)])
         return pa.RecordBatch.from_arrays([pa.array([r["place"] for r in rows], pa.int64()), pa.array([r["docs"] for r in rows], pa.binary()),
                                            pa.array([sums[a:b].tobytes() for a, b in zip(edges, edges[1:])], pa.binary())], names=["place", "docs", "sums"])

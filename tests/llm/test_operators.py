@@ -462,3 +462,14 @@ def test_lists_of_sets_below_the_limit_give_few_candidates(spark):
     every = spark.createDataFrame([(a, b) for a in grams for b in grams if a < b], "a long, b long")
     left = {(r["a"], r["b"]) for r in set_join.not_apart(every, bits, 85).collect()}
     assert near <= left and found <= left
+
+
+def test_pairs_of_several_slices_are_packed_together(spark):
+    """Texts of one task that fill several slices and packs get the scores that they get in tasks of their own."""
+    rng = random.Random(41)
+    vocab = [f"word{i}" for i in range(3000)]
+    rows = [(k, " ".join(rng.choice(vocab) for _ in range(90_000))) for k in range(8)] + [(9, None), (10, "word1 word2 never")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sum(len(t or "") for _, t in rows) > ngram_lm.PACKED
+    one, many = ({r["doc_id"]: (r["n_tokens"], r["score"]) for r in ngram_lm.language_model(df.repartition(n, "doc_id")).collect()} for n in (1, 7))
+    assert one.keys() == many.keys() == {d for d, _ in rows} and all(one[d][0] == many[d][0] and math.isclose(one[d][1], many[d][1], rel_tol=1e-9) for d in one)
