@@ -473,3 +473,16 @@ def test_pairs_of_several_slices_are_packed_together(spark):
     assert sum(len(t or "") for _, t in rows) > ngram_lm.PACKED
     one, many = ({r["doc_id"]: (r["n_tokens"], r["score"]) for r in ngram_lm.language_model(df.repartition(n, "doc_id")).collect()} for n in (1, 7))
     assert one.keys() == many.keys() == {d for d, _ in rows} and all(one[d][0] == many[d][0] and math.isclose(one[d][1], many[d][1], rel_tol=1e-9) for d in one)
+
+
+def test_line_signatures(spark):
+    """A class has one row, whatever its number of functions; the passes share its buckets, and each function meets a copy's in the same pass."""
+    line = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, line), (2, line.replace("word30", "word3o")), (3, "a short line"), (4, "x"), (5, "ab" * 300)]
+    out = {r["key"]: r for r in fuzzy_lines.signatures(spark.createDataFrame(rows, "key long, text string"), 80).collect()}
+    assert sorted(out) == [1, 2, 3, 4, 5] and len(out[4]["buckets0"]) + len(out[4]["buckets1"]) + len(out[4]["buckets2"]) + len(out[4]["buckets3"]) == 10
+    parts = {k: [r[f"buckets{p}"] for p in range(fuzzy_lines.PASSES)] for k, r in out.items()}
+    assert all(len(set(sum(p, []))) == len(sum(p, [])) for p in parts.values()) and len(sum(parts[1], [])) == 24
+    same = [len(set(x) & set(y)) for x, y in zip(parts[1], parts[2])]
+    assert sum(same) == len(set(sum(parts[1], [])) & set(sum(parts[2], []))) >= 18
+    assert all(0 <= s < len(rows[k - 1][1]) for k in out for p in range(fuzzy_lines.PASSES) for s in out[k][f"spots{p}"])
