@@ -11,7 +11,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from siftgate.llm import (automaton_dedup, byte_bpe, decontaminate, fuzzy_lines, line_rules, ngram_lm, pii_boost, quality_model,
+from siftgate.llm import (automaton_dedup, byte_bpe, decontaminate, edits, fuzzy_lines, line_rules, ngram_lm, pii_boost, quality_model,
                           set_join, suffix_groups)
 from siftgate.llm.queries import tokenizer
 
@@ -486,3 +486,38 @@ def test_line_signatures(spark):
     same = [len(set(x) & set(y)) for x, y in zip(parts[1], parts[2])]
     assert sum(same) == len(set(sum(parts[1], [])) & set(sum(parts[2], []))) >= 18
     assert all(0 <= s < len(rows[k - 1][1]) for k in out for p in range(fuzzy_lines.PASSES) for s in out[k][f"spots{p}"])
+
+
+def test_edit_distances_of_many_pairs():
+    """Pairs within the limit, as by the plain table; empty texts, several blocks of rows, other alphabets and lengths in one call."""
+    rng, pairs = random.Random(3), [("", ""), ("", "a"), ("a" * 5, "b" * 5)]
+    for n in (1, 5, 63, 64, 65, 128, 200, 300):
+        for share in (0, 0.1, 0.2, 0.25, 0.4):
+            line = "".join(rng.choice("abcdé漢") for _ in range(n))
+            out = list(line)
+            for _ in range(int(n * share)):
+                i, kind = rng.randrange(max(len(out), 1)), rng.random()
+                out[i:i + (kind >= 0.3)] = [] if kind > 0.7 else rng.choice("abcxy")
+            pairs.append((line, "".join(out)))
+    for percent in (50, 80, 90):
+        most = [(100 - percent) * max(map(len, p)) // 100 for p in pairs]
+        want = [decontaminate.edit_distance(list(a), list(b), m) <= m for (a, b), m in zip(pairs, most)]
+        assert edits.within([a for a, _ in pairs], [b for _, b in pairs], percent).tolist() == want and True in want and False in want
+
+
+def test_lines_that_share_a_run_only_are_no_candidates(spark):
+    """Unrelated lines of one vocabulary share runs, but few become candidates; all near copies do, also in a bucket of many of them."""
+    rng = random.Random(12)
+    vocab = ["th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha", "at", "en", "es", "of", "or", "nt", "ea", "ti", "to", "it", "st", "io", "le", "is", "ou"]
+    say = lambda n: " ".join("".join(rng.choice(vocab) for _ in range(rng.randint(1, 4))) for _ in range(n))
+    lines = [say(45) for _ in range(1500)]
+    base = say(60)
+    copies = [base[:k] + "#" + base[k + 1:] for k in rng.sample(range(len(base)), 90)]
+    rows = list(enumerate(lines + copies))
+    found = fuzzy_lines.candidates(spark.createDataFrame(rows, "key long, text string"), 80).collect()
+    pairs = {(r["a"], r["b"]) for r in found}
+    assert len({p for p in pairs if p[0] < 1500}) < 600
+    assert {k for p in pairs for k in p if k >= 1500} == set(range(1500, 1590)) and any(r["dense"] is not None for r in found)
+    assert len([r for r in found if r["a"] >= 1500]) < 90 * 90 * fuzzy_lines.PASSES / 2
+    docs = spark.createDataFrame([(k, text) for k, text in rows if k >= 1490], "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in fuzzy_lines.remove_fuzzy_lines(docs).collect() if not r["n_removed"]) == list(range(1490, 1501))
