@@ -12,7 +12,7 @@ buffers, as they would be mapped from a file. Then the shard scores all its pair
 back in the blocks that the pairs came in.
 
 Scale: three passes over the texts; pairs are shuffled once as packed, sorted and compressed blocks (about 8 bytes a
-pair), and their sums per document once, as one row per block; a block holds what one slice of texts sends to one shard. The table of common words, which every task has, holds at most ``COMMON`` entries; the counts of
+pair), some shards at a time where they are written, and their sums per document once, as one row per block; a block holds what one slice of texts sends to one shard. The table of common words, which every task has, holds at most ``COMMON`` entries; the counts of
 rarer words come from a join, for the base score by document, for the pairs by shard (only those that a shard's pairs
 hold). The shares of common words are quantised and those of rarer words exact, so ``COMMON`` changes scores in the second
 decimal where there are more words than it holds. Contexts and words meet by 32 bits of their hashes: some thousand pairs of
@@ -22,18 +22,21 @@ result and of training; rows that repeat a doc_id with its text get the same sco
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from siftgate.llm.spans import LOWER, Slice, column, mix, slices
-from siftgate.sources.storage import materialise
+from siftgate.sources.storage import materialise, release
 
 COMMON = 400_000
 MU = 4.0
 STEP = 1 / 4096            #: of the quantised log10 probabilities
 RARE = 65535               #: in place of a quantised probability: the pair's word is in the block's list of rare words
+PASSES = 4                 #: shuffles that the shards of written blocks are dealt to
 PACKED = 4 << 20           #: bytes of text whose pairs are packed together
 BEGIN, END = np.uint64(1), np.uint64(2)
 LOW32 = np.uint64(0xFFFFFFFF)
@@ -311,10 +314,18 @@ def pair_scores(docs: DataFrame, words: DataFrame, common: Common, train_docs: i
     layout = "place long, shard int, n long, body binary, docs binary, train binary, rare array<long>"
     blocks = docs.select("doc_id", "text", F.coalesce(training(), F.lit(True)).alias("train")).mapInArrow(pack, layout)
     if not common.whole:
-        blocks = materialise(blocks)
-        wanted = blocks.select("shard", F.explode(F.array_distinct("rare")).alias("word")).distinct()
-        blocks = blocks.unionByName(wanted.join(words, "word").select("shard", "word", "c").mapInArrow(counted, layout))
-    sums = blocks.repartition("shard").sortWithinPartitions("shard").mapInArrow(score, "place long, docs binary, sums binary")
+        packed = materialise(blocks)
+        wanted = packed.select("shard", F.explode(F.array_distinct("rare")).alias("word")).distinct()
+        counts = materialise(wanted.join(words, "word").select("shard", "word", "c").mapInArrow(counted, layout))
+        blocks = packed.unionByName(counts)
+    def scored(rows):
+        return rows.repartition("shard").sortWithinPartitions("shard").mapInArrow(score, "place long, docs binary, sums binary")
+
+    if common.whole:
+        sums = scored(blocks)
+    else:  # the blocks are written; some shards' at a time are shuffled
+        sums = reduce(DataFrame.unionByName, [materialise(scored(blocks.filter(F.col("shard") % PASSES == p))) for p in range(PASSES)])
+        release(packed)
     # a document's blocks share a place unless a lost task was done again over rows in another order; the last sum covers that
     return (sums.repartition("place").sortWithinPartitions("place").mapInArrow(add, "doc_id long, score double")
             .groupBy("doc_id").agg(F.sum("score").alias("score")))

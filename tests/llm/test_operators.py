@@ -521,3 +521,19 @@ def test_lines_that_share_a_run_only_are_no_candidates(spark):
     assert len([r for r in found if r["a"] >= 1500]) < 90 * 90 * fuzzy_lines.PASSES / 2
     docs = spark.createDataFrame([(k, text) for k, text in rows if k >= 1490], "doc_id long, text string")
     assert sorted(r["doc_id"] for r in fuzzy_lines.remove_fuzzy_lines(docs).collect() if not r["n_removed"]) == list(range(1490, 1501))
+
+
+def test_written_blocks_are_shuffled_by_some_shards_at_a_time(spark, monkeypatch):
+    """With rare words, the blocks are written once and scored a share of the shards at a time; every shard is in one share, and the scores are those of one shuffle."""
+    rng = random.Random(5)
+    rows = [(k, " ".join(rng.choice("abcdefgh") + str(rng.randrange(40)) for _ in range(60))) for k in range(80)]
+    df, written, got = spark.createDataFrame(rows, "doc_id long, text string"), [], {}
+    keep = ngram_lm.materialise
+    monkeypatch.setattr(ngram_lm, "materialise", lambda d: written.append(d.columns) or keep(d))
+    monkeypatch.setattr(ngram_lm, "COMMON", 20)
+    for passes in (4, 1):
+        monkeypatch.setattr(ngram_lm, "PASSES", passes)
+        written.clear()
+        got[passes] = {r["doc_id"]: r["score"] for r in ngram_lm.language_model(df).collect()}
+        assert written.count(["place", "docs", "sums"]) == passes
+    assert got[4].keys() == got[1].keys() and len(got[4]) == 80 and all(math.isclose(got[4][d], got[1][d], rel_tol=1e-9) for d in got[4])
