@@ -8,6 +8,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -537,3 +538,57 @@ def test_written_blocks_are_shuffled_by_some_shards_at_a_time(spark, monkeypatch
         got[passes] = {r["doc_id"]: r["score"] for r in ngram_lm.language_model(df).collect()}
         assert written.count(["place", "docs", "sums"]) == passes
     assert got[4].keys() == got[1].keys() and len(got[4]) == 80 and all(math.isclose(got[4][d], got[1][d], rel_tol=1e-9) for d in got[4])
+
+
+def test_bucket_rows_are_shuffled_packed(spark):
+    """A task of one round gets the rows of its buckets as a few packed values, not one by one; over the rounds every class has one row for each function,
+    and a round holds a share of all rows, whatever the lengths of the lines."""
+    rng = random.Random(14)
+    rows = [(k, " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(rng.choice((1, 4, 12, 30, 70, 120))))) for k in range(600)]
+    classes = spark.createDataFrame(rows, "key long, text string")
+    assert len(fuzzy_lines.deals(classes, 80)) == 1  # few rows are one round
+    keep, fuzzy_lines.PART = fuzzy_lines.PART, 1
+    try:
+        rounds = fuzzy_lines.deals(classes, 80)
+    finally:
+        fuzzy_lines.PART = keep
+    total = sum(n for _, n in rounds)
+    dealt = sorted((k, p) for deal, _ in rounds for k, parts in deal.items() for p in parts)
+    assert len(rounds) > 3 and max(n for _, n in rounds) <= total / fuzzy_lines.ROUNDS + 1 and len(set(dealt)) == len(dealt)
+    met = {}
+    for deal, n in rounds:
+        packed = fuzzy_lines.bucket_table(classes, 80, deal, 5).collect()
+        got = [np.frombuffer(r["rows"], fuzzy_lines.ROW) for r in packed]
+        assert len(packed) <= 5 * 8 and sum(map(len, got)) == n > 0
+        for r in np.concatenate(got):
+            met[int(r["key"])] = met.get(int(r["key"]), 0) + 1
+    assert sum(met.values()) == total and set(met) == set(range(600)) and all(n >= 10 for n in met.values())
+
+
+def test_lines_alike_only_next_to_a_run_are_no_candidates(spark):
+    """Lines that share a stretch of 60 bytes and nothing else are no candidates; near copies, edited everywhere, are."""
+    rng = random.Random(15)
+    say = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    shared, lines = say(60), []
+    for _ in range(60):
+        lines.append(say(175) + shared + say(175))
+    base = say(410)
+    lines += [base[:k] + "#" + base[k + 1:] for k in rng.sample(range(410), 5)]
+    found = {(r["a"], r["b"]) for r in fuzzy_lines.candidates(spark.createDataFrame(list(enumerate(lines)), "key long, text string"), 80).collect()}
+    assert not {p for p in found if p[0] < 60} and {k for p in found for k in p} == set(range(60, 65))
+
+
+def test_edit_distances_of_very_long_lines():
+    """Pairs of lines too long to be compared together: the distance itself within the limit, and no more than that it is above it beyond."""
+    rng = random.Random(16)
+    for n, share in ((0, 0), (1, 0.5), (70, 0.1), (400, 0.2), (400, 0.5)):
+        a = [rng.choice("abcdé漢") for _ in range(n)]
+        b = [rng.choice("abcxy") if rng.random() < share else c for c in a if rng.random() >= share / 3]
+        for most in (0, n // 10, n // 5, n):
+            want = decontaminate.edit_distance(a, b, most)
+            got = edits.alone("".join(a), "".join(b), most)
+            assert got == want if want <= most else got > most
+    line = "".join(rng.choice("abcdefgh ") for _ in range(6000))
+    near = "".join(rng.choice("xyz") if rng.random() < 0.1 else c for c in line)
+    far = "".join(rng.choice("xyz") if rng.random() < 0.3 else c for c in line)
+    assert edits.within([line, line, line, "short"], [near, far, line, "shirt"], 80).tolist() == [True, False, True, True]
