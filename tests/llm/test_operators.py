@@ -10,10 +10,11 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from siftgate.llm import (automaton_dedup, byte_bpe, decontaminate, edits, fuzzy_lines, line_rules, ngram_lm, pii_boost, quality_model,
-                          set_join, suffix_groups)
+                          set_join, spans, suffix_groups)
 from siftgate.llm.queries import tokenizer
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, start int, kept string"
@@ -592,3 +593,16 @@ def test_edit_distances_of_very_long_lines():
     near = "".join(rng.choice("xyz") if rng.random() < 0.1 else c for c in line)
     far = "".join(rng.choice("xyz") if rng.random() < 0.3 else c for c in line)
     assert edits.within([line, line, line, "short"], [near, far, line, "shirt"], 80).tolist() == [True, False, True, True]
+
+
+def test_task_functions_do_not_carry_tables_of_the_driver():
+    """Functions are pickled with what they name; the tables that the driver has made for itself are not sent along with every one of them."""
+    spans.powers(1000)
+    fuzzy_lines.pair_bits()
+    for function in (spans.prefix, spans.ranges, fuzzy_lines.bucket_rows):
+        sent = cloudpickle.dumps(function)
+        assert len(sent) < 200_000
+    values = np.arange(50, dtype=np.uint64)
+    prefix, ranges = (cloudpickle.loads(cloudpickle.dumps(f)) for f in (spans.prefix, spans.ranges))
+    start, end = np.arange(40), np.arange(10, 50)
+    assert (ranges(prefix(values), start, end) == spans.ranges(spans.prefix(values), start, end)).all()
